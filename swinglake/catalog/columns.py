@@ -142,11 +142,11 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- projections -----------------------------------------------------------
 
 @query("rename_drop_lower", """SELECT lower(p_partkey::VARCHAR) AS id, lower(p_name) AS label,
-  lower(p_brand) AS brand, lower(p_retailprice::BIGINT::VARCHAR) AS price,
+  lower(p_brand) AS brand, lower(floor(p_retailprice)::BIGINT::VARCHAR) AS price,
   'part' AS kind FROM part""")
 def rename_drop_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = fx.table(spark, sf_dir, "part")
-    whole = part.withColumn("p_retailprice", F.round("p_retailprice").cast("long"))
+    whole = part.withColumn("p_retailprice", F.floor("p_retailprice"))
     named = rename_at(whole, {0: "id", 1: "label"}).withColumnsRenamed(
         {"p_brand": "brand", "p_retailprice": "price"})
     texts = named.drop("p_type", "P_SIZE", "no_such_column")

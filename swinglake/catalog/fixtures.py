@@ -90,14 +90,14 @@ class Bronze:
     params: str
 
 
-def _pose(joint: str, measure: str) -> Column:
+def _pose(joint: str, measure: str) -> str:
     name = pose_column(joint, measure)
     if measure.startswith("M"):
-        return F.lit(1 if measure == "M44" else 0).alias(name)
+        return f"{int(measure == 'M44')} AS {name}"
     j, k = JOINTS.index(joint), MEASURES.index(measure)
-    wobble = F.pmod(F.col("event_id") * F.lit(31 * j + 7 * k + 3), F.lit(101)) * F.lit(0.1)
-    value = F.col("value") * F.lit(j + 1) + F.lit(k) + wobble
-    return (value.cast("int") if name in _WHOLE else value).alias(name)
+    value = (f"(value * {j + 1} + {k} + "
+             f"pmod(event_id * {31 * j + 7 * k + 3}, 101) * 0.1D)")
+    return f"CAST({value} AS INT) AS {name}" if name in _WHOLE else f"{value} AS {name}"
 
 
 def _listed(item) -> Column:
@@ -131,7 +131,7 @@ def motion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("row_index"),
         ((F.col("row_number") - 1) * F.lit(FRAME_PERIOD_MS)).alias("Timestamp"),
-        *[_pose(j, m) for j in JOINTS for m in MEASURES],
+        *[F.expr(_pose(j, m)) for j in JOINTS for m in MEASURES],
         _rescued(F.col("event_id") % 97 == 0), *_origin(), "row_number")
 
 

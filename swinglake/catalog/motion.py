@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog import fixtures as fx
@@ -116,13 +116,11 @@ def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A map column does not compare across engines, so each map is summed up as
 # sum(position of key * value in thousandths), with the number of entries.
 
-def _digest(joint: str) -> Column:
-    entries = F.col(map_column(joint))
-    total = F.lit(0).cast("long")
-    for i, key in enumerate(map_keys(joint)):
-        value = F.round(F.element_at(entries, F.lit(key)) * 1000).cast("long")
-        total = total + F.lit(i + 1) * F.coalesce(value, F.lit(0))
-    return total.alias(joint.lower())
+def _digest(joint: str) -> str:
+    keys = ", ".join(f"'{k}'" for k in map_keys(joint))
+    term = f"(i + 1) * CAST(round(try_element_at({map_column(joint)}, k) * 1000) AS BIGINT)"
+    return (f"aggregate(transform(array({keys}), (k, i) -> {term}), 0L, (a, x) -> a + x) "
+            f"AS {joint.lower()}")
 
 
 def _digest_sql(joint: str) -> str:
@@ -136,9 +134,9 @@ def _digest_sql(joint: str) -> str:
 
 
 def _digested(master: DataFrame) -> DataFrame:
-    entries = sum((F.size(map_column(j)) for j in MASTER_JOINTS), F.lit(0))
-    return master.select(
-        *silver.PARAMETERS, "Timestamp", "input_event", entries.alias("n_entries"),
+    entries = " + ".join(f"size({map_column(j)})" for j in MASTER_JOINTS)
+    return master.selectExpr(
+        *silver.PARAMETERS, "Timestamp", "input_event", f"{entries} AS n_entries",
         *[_digest(j) for j in MASTER_JOINTS])
 
 
@@ -241,7 +239,7 @@ def strip_split_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "input_event", "row_number", F.posexplode(pairs).alias("slot", "pair")
     ).select("input_event", "row_number", "slot",
-             F.col("pair.0").alias("confidence"), F.col("pair.1").alias("error"))
+             "pair.confidence", "pair.error")
 
 
 _SPREAD_SQL = ", ".join(
@@ -271,7 +269,7 @@ _SUMS_SQL = ", ".join(
 SELECT {_SUMS_SQL}, count(*) AS n_rows FROM motion m""")
 def pose_column_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batch(spark, fx.bronze(spark, sf_dir).motion)
-    sums = [F.sum(F.round(F.col(c) * 1000).cast("long")).alias(c) for c in pose_columns(rows)]
+    sums = [F.expr(f"sum(CAST(round({c} * 1000) AS BIGINT)) AS {c}") for c in pose_columns(rows)]
     return rows.agg(*sums, F.count("*").alias("n_rows"))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swinglake.functions.frames import ColumnOrName, _col
+from swinglake.functions.sqltext import ident, text
 from swinglake.joints import (
     MASTER_JOINTS, MEASURES, NON_BODY_JOINTS, POSE_MARKERS, RESCUED, TRACKER_MEASURES,
     TRACKER_SLOTS, UNTRACKED_JOINTS, map_column, map_keys,
@@ -52,32 +53,31 @@ def spread_tracker(df: DataFrame) -> DataFrame:
 
 def pack_maps(df: DataFrame, joints: Iterable[str] = MASTER_JOINTS) -> DataFrame:
     """Joint columns -> one ``{joint}_zip`` map per joint, other columns kept."""
-    joints = list(joints)
     maps, used = [], []
     for joint in joints:
-        entries: list[Column] = []
-        for key in map_keys(joint):
-            used.append(f"{joint}_{key}")
-            entries += [F.lit(key), F.col(used[-1]).try_cast("double")]
-        maps.append(F.create_map(*entries).alias(map_column(joint)))
+        columns = {key: f"{joint}_{key}" for key in map_keys(joint)}
+        entries = [f"{text(k)}, try_cast({ident(c)} AS DOUBLE)" for k, c in columns.items()]
+        maps.append(f"map({', '.join(entries)}) AS {ident(map_column(joint))}")
+        used += columns.values()
     spread = [c for m in TRACKER_MEASURES for c in (m, *slot_columns(m))]
-    return df.select("*", *maps).drop(*used, *spread)
+    return df.selectExpr("*", *maps).drop(*used, *spread)
 
 
 # The pipeline shuffles rows between reading and packing.  Packing 464 + 75 columns
 # only afterwards would shuffle 540 columns per row, and maps would shuffle their
 # keys with every row; so poses travel as one array per joint and become maps last.
 
-def pose_array(joint: str) -> Column:
-    """The 16 pose columns of a joint as one array of doubles."""
-    return F.array(*[F.col(f"{joint}_{m}").try_cast("double") for m in MEASURES])
+def pose_array(joint: str) -> str:
+    """SQL for the 16 pose columns of a joint as one array of doubles."""
+    items = [f"try_cast({ident(f'{joint}_{m}')} AS DOUBLE)" for m in MEASURES]
+    return f"array({', '.join(items)})"
 
 
-def joint_map(joint: str, poses: Column) -> Column:
-    """A joint's map from its pose array and the tracker arrays of the row."""
-    keys = F.array(*[F.lit(k) for k in map_keys(joint)])
+def joint_map(joint: str, poses: str) -> str:
+    """SQL for a joint's map from its pose array and the tracker arrays of the row."""
+    keys = f"array({', '.join(text(k) for k in map_keys(joint))})"
     if joint in UNTRACKED_JOINTS:
-        return F.map_from_arrays(keys, poses)
-    slot = F.lit(TRACKER_SLOTS.index(joint))
-    quality = F.array(*[F.get(F.col(m), slot).cast("double") for m in TRACKER_MEASURES])
-    return F.map_from_arrays(keys, F.concat(poses, quality))
+        return f"map_from_arrays({keys}, {poses})"
+    slot = TRACKER_SLOTS.index(joint)
+    quality = [f"CAST(get({m}, {slot}) AS DOUBLE)" for m in TRACKER_MEASURES]
+    return f"map_from_arrays({keys}, concat({poses}, array({', '.join(quality)})))"

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
@@ -86,15 +87,22 @@ def total_squares(df: DataFrame, column: str = "scores") -> float:
 
 
 def kmeans_sweep(df: DataFrame, ks: Iterable[int] = SWEEP, seed: int = SEED,
-                 column: str = "scores") -> DataFrame:
-    """Within-cluster squares for every ``k``, as ``(k, wcss)``."""
+                 column: str = "scores", parallelism: int = 4) -> DataFrame:
+    """Within-cluster squares for every ``k``, as ``(k, wcss)``.
+
+    The fits are independent and their jobs small (three numbers per swing), so
+    ``parallelism`` of them are submitted at a time.
+    """
     points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def cost(k: int) -> tuple[int, float]:
+        if k == 1:
+            return k, total_squares(points, column)
+        return k, float(fit_clusters(points, k, column, seed).summary.trainingCost)
+
     try:
-        costs = [
-            (k, total_squares(points, column) if k == 1
-             else float(fit_clusters(points, k, column, seed).summary.trainingCost))
-            for k in ks
-        ]
+        with ThreadPool(parallelism) as pool:
+            costs = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), 1)
     finally:
         points.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, wcss double")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from swinglake.functions.sqltext import ident, text
 from swinglake.joints import CLUSTER_KEYS
 from swinglake.sources.files import list_files
 
@@ -20,18 +21,14 @@ LAYERS = {
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def ensure_layers(spark: SparkSession, prefix: str = "", root: str | None = None,
                   layers: Mapping[str, str] = LAYERS) -> list[str]:
     """Create the namespaces that are missing; returns their names."""
     names = []
     for layer, comment in layers.items():
         name = f"{prefix}{layer}"
-        at = f" LOCATION {_quoted(f'{root}/{name}')}" if root else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT {_quoted(comment)}{at}")
+        at = f" LOCATION {text(f'{root}/{name}')}" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT {text(comment)}{at}")
         names.append(name)
     return names
 
@@ -40,9 +37,9 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType,
                  keys: Sequence[str] = CLUSTER_KEYS, comment: str = "",
                  fmt: str = "parquet") -> None:
     """Create a typed table with comment and clustering keys if it is missing."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    columns = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     cluster = f" CLUSTER BY ({', '.join(keys)})" if keys else ""
-    remark = f" COMMENT {_quoted(comment)}" if comment else ""
+    remark = f" COMMENT {text(comment)}" if comment else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt}{cluster}{remark}")
 
 

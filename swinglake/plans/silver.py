@@ -9,6 +9,7 @@ from swinglake.functions import (
     parse_doubles, rebase_ms, round_frame_ms, split_list, strip_braces, to_double,
     tracking_states, zip_arrays,
 )
+from swinglake.functions.sqltext import ident
 from swinglake.joints import (
     JOINTS, KEY_FRAME_NAMES, MASTER_JOINTS, MEASURES, TRACKER_MEASURES, key_frames_schema,
     map_column, pose_column,
@@ -91,9 +92,9 @@ def key_frames(motion: DataFrame, key_frame_lists: DataFrame, params: DataFrame,
                                 drop_undetected=drop_undetected)
     joined = match_key_frames(frames, timed_motion(motion))
     names = {c.lower() for c in joined.columns}
-    return joined.select(
-        *[F.col(f.name).cast(f.dataType) for f in key_frames_schema().fields
-          if f.name.lower() in names])
+    return joined.selectExpr(*[
+        f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
+        for f in key_frames_schema().fields if f.name.lower() in names])
 
 
 # --- master ----------------------------------------------------------------
@@ -111,9 +112,9 @@ def tracker_frames(frames: DataFrame) -> DataFrame:
 
 def posed_motion(motion: DataFrame, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
     """Clean motion rows with one pose array per joint."""
-    return clean(motion).select(
-        "input_event", "row_number", to_double("Timestamp").alias("Timestamp"),
-        *[pose_array(j).alias(f"_pose_{j}") for j in joints])
+    return clean(motion).selectExpr(
+        "input_event", "row_number", "try_cast(Timestamp AS DOUBLE) AS Timestamp",
+        *[f"{pose_array(j)} AS _pose_{j}" for j in joints])
 
 
 def aligned(motion: DataFrame, frames: DataFrame, params: DataFrame,
@@ -124,8 +125,8 @@ def aligned(motion: DataFrame, frames: DataFrame, params: DataFrame,
 
 
 def packed(joined: DataFrame, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
-    maps = [joint_map(j, F.col(f"_pose_{j}")).alias(map_column(j)) for j in joints]
-    return joined.select(*PARAMETERS, "Timestamp", "input_event", *maps)
+    maps = [f"{joint_map(j, f'_pose_{j}')} AS {map_column(j)}" for j in joints]
+    return joined.selectExpr(*PARAMETERS, "Timestamp", "input_event", *maps)
 
 
 def master(motion: DataFrame, frames: DataFrame, params: DataFrame,
