@@ -16,7 +16,7 @@ from swinglake.joints import (
     FRAME_PERIOD_MS, JOINTS, MEASURES, TRACKER_SLOTS, pose_column, pose_fields,
 )
 from swinglake.operators.numbering import with_row_number
-from swinglake.session import scratch_dir
+from swinglake.session import configure, scratch_dir
 
 _WHOLE = {f.name for f in pose_fields() if isinstance(f.dataType, IntegerType)}
 
@@ -176,9 +176,6 @@ def params(spark: SparkSession, sf_dir: str) -> DataFrame:
         _rescued(u % 31 == 0), *_origin())
 
 
-_built: dict[tuple[str, str], Bronze] = {}
-
-
 def build_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     root = scratch_dir(spark, "bronze")
     feeds = {"motion": motion, "frames": frames, "key_frames": key_frame_lists, "params": params}
@@ -187,12 +184,20 @@ def build_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     return Bronze(**{name: f"{root}/{name}" for name in feeds})
 
 
+_written: dict[tuple, object] = {}
+
+
+def _once(make, spark: SparkSession, sf_dir: str):
+    """Derived files are written once per application and data folder."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, make.__name__, sf_dir)
+    if key not in _written:
+        _written[key] = make(spark, sf_dir)
+    return _written[key]
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    """The bronze feeds of a data folder, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = build_bronze(spark, sf_dir)
-    return _built[key]
+    return _once(build_bronze, spark, sf_dir)
 
 
 # --- landing files ---------------------------------------------------------
@@ -238,7 +243,7 @@ def _files(lines: DataFrame, target: str) -> None:
     _by_event(ordered.select("value", "game", "event_type", "event")).text(target)
 
 
-def land_csv(spark: SparkSession, sf_dir: str) -> str:
+def write_csv(spark: SparkSession, sf_dir: str) -> str:
     """``frame;cents;kind`` files with every kind of misfit: text for a number, a
     token too many, tokens missing, and (every fifth user) another column order
     with a column more."""
@@ -262,7 +267,7 @@ def land_csv(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def land_reports(spark: SparkSession, sf_dir: str) -> str:
+def write_reports(spark: SparkSession, sf_dir: str) -> str:
     """Tab-separated reports with a title line and padded fields."""
     root = scratch_dir(spark, "landing-report")
     ev = numbered_events(spark, sf_dir)
@@ -278,7 +283,7 @@ def land_reports(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def land_xml(spark: SparkSession, sf_dir: str) -> str:
+def write_xml(spark: SparkSession, sf_dir: str) -> str:
     """One parameter file per event; some weights are words."""
     root = scratch_dir(spark, "landing-xml")
     u = F.col("user_id")
@@ -290,3 +295,15 @@ def land_xml(spark: SparkSession, sf_dir: str) -> str:
     _by_event(rows.repartition("game", "event_type", "event")).format("xml").option(
         "rootTag", "Sets").option("rowTag", "BatterParameterSet").save(f"{root}/all_games")
     return root
+
+
+def land_csv(spark: SparkSession, sf_dir: str) -> str:
+    return _once(write_csv, spark, sf_dir)
+
+
+def land_reports(spark: SparkSession, sf_dir: str) -> str:
+    return _once(write_reports, spark, sf_dir)
+
+
+def land_xml(spark: SparkSession, sf_dir: str) -> str:
+    return _once(write_xml, spark, sf_dir)

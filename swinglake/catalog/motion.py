@@ -15,7 +15,7 @@ from swinglake.operators.joins import align_frames, enrich, match_key_frames
 from swinglake.operators.profile import stage_counts
 from swinglake.operators.shaping import clean, pose_columns, slot_columns, spread_tracker
 from swinglake.plans import silver
-from swinglake.session import configure, scratch_dir
+from swinglake.session import scratch_dir
 from swinglake.sources.files import read_table, stream_table
 
 
@@ -67,7 +67,6 @@ def key_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("key_frames_stream", KEY_FRAMES_SQL)
 def key_frames_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     b = fx.bronze(spark, sf_dir)
     stream = silver.key_frames(
         stream_table(spark, b.motion), stream_table(spark, b.key_frames),
@@ -114,13 +113,13 @@ def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- master ----------------------------------------------------------------
 # A map column does not compare across engines, so each map is summed up as
-# sum(position of key * value in thousandths), with the number of entries.
+# sum(position of entry * value in whole thousandths), next to the number of maps
+# that hold exactly the keys they should, in their order.
 
 def _digest(joint: str) -> str:
-    keys = ", ".join(f"'{k}'" for k in map_keys(joint))
-    term = f"(i + 1) * CAST(round(try_element_at({map_column(joint)}, k) * 1000) AS BIGINT)"
-    return (f"aggregate(transform(array({keys}), (k, i) -> {term}), 0L, (a, x) -> a + x) "
-            f"AS {joint.lower()}")
+    terms = (f"transform(map_values({map_column(joint)}), (v, i) -> "
+             f"(i + 1) * coalesce(floor(v * 1000 + 0.5D), 0))")
+    return f"aggregate({terms}, 0L, (a, x) -> a + x) AS {joint.lower()}"
 
 
 def _digest_sql(joint: str) -> str:
@@ -129,19 +128,22 @@ def _digest_sql(joint: str) -> str:
     if joint not in UNTRACKED_JOINTS:
         slot = TRACKER_SLOTS.index(joint)
         values += [fx.state_sql(slot), fx.confidence_sql(slot), fx.error_sql(slot)]
-    terms = [f"{i + 1} * round({v} * 1000)::BIGINT" for i, v in enumerate(values)]
+    terms = [f"{i + 1} * floor({v} * 1000 + 0.5::DOUBLE)::BIGINT" for i, v in enumerate(values)]
     return f"({' + '.join(terms)}) AS \"{joint.lower()}\""
 
 
 def _digested(master: DataFrame) -> DataFrame:
-    entries = " + ".join(f"size({map_column(j)})" for j in MASTER_JOINTS)
+    def keyed(joint: str) -> str:
+        keys = ", ".join(f"'{k}'" for k in map_keys(joint))
+        return f"CAST(map_keys({map_column(joint)}) = array({keys}) AS INT)"
+
     return master.selectExpr(
-        *silver.PARAMETERS, "Timestamp", "input_event", f"{entries} AS n_entries",
+        *silver.PARAMETERS, "Timestamp", "input_event",
+        f"{' + '.join(keyed(j) for j in MASTER_JOINTS)} AS n_maps",
         *[_digest(j) for j in MASTER_JOINTS])
 
 
 _DIGESTS_SQL = ",\n  ".join(_digest_sql(j) for j in MASTER_JOINTS)
-_N_ENTRIES = sum(len(map_keys(j)) for j in MASTER_JOINTS)
 
 ALIGNED = f"""{fx.MOTION}, {fx.FRAMES}, {fx.PARAMS}"""
 _ALIGN_SQL = """FROM frames f
@@ -151,7 +153,7 @@ WHERE f._rescued_data IS NULL AND m._rescued_data IS NULL"""
 
 MASTER_SQL = f"""WITH {ALIGNED}
 SELECT p."GamePK", p."ID", p."PlayID", p."Weight", m."Timestamp", m.input_event,
-  {_N_ENTRIES} AS n_entries,
+  {len(MASTER_JOINTS)} AS n_maps,
   {_DIGESTS_SQL}
 {_ALIGN_SQL}"""
 
@@ -165,7 +167,6 @@ def master_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("master_maps_stream", MASTER_SQL)
 def master_maps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     b = fx.bronze(spark, sf_dir)
     stream = silver.master(
         stream_table(spark, b.motion), stream_table(spark, b.frames), _batch(spark, b.params))
@@ -261,7 +262,7 @@ def tracking_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BODY = [(j, m) for j in JOINTS if j not in ("Center", "Top", "Knob")
          for m in MEASURES if not m.startswith("M")]
 _SUMS_SQL = ", ".join(
-    f"sum(round({fx.pose_sql(j, m)} * 1000)::BIGINT)::BIGINT AS \"{pose_column(j, m)}\""
+    f"sum(floor({fx.pose_sql(j, m)} * 1000 + 0.5::DOUBLE)::BIGINT)::BIGINT AS \"{pose_column(j, m)}\""
     for j, m in _BODY)
 
 
@@ -269,7 +270,7 @@ _SUMS_SQL = ", ".join(
 SELECT {_SUMS_SQL}, count(*) AS n_rows FROM motion m""")
 def pose_column_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _batch(spark, fx.bronze(spark, sf_dir).motion)
-    sums = [F.expr(f"sum(CAST(round({c} * 1000) AS BIGINT)) AS {c}") for c in pose_columns(rows)]
+    sums = [F.expr(f"sum(floor({c} * 1000 + 0.5D)) AS {c}") for c in pose_columns(rows)]
     return rows.agg(*sums, F.count("*").alias("n_rows"))
 
 

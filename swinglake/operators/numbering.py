@@ -8,11 +8,12 @@ from a small table of slice counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from swinglake.functions.paths import input_event
 from swinglake.session import scratch_dir
 
 FILE, BLOCK = "input_file", "_file_block"
@@ -30,63 +31,67 @@ def with_file_position(df: DataFrame) -> DataFrame:
 
 def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "row_number",
                          skip: int = 0, index: str | None = None,
-                         file_notes: DataFrame | None = None) -> DataFrame:
-    """1-based row number per ``key`` in file order.
-
-    ``df`` comes from :func:`with_file_position` (inside ``foreachBatch`` when it
-    is a stream).  The first ``skip`` lines of every file get numbers below 1 and
-    do not count.  ``index`` adds a dense 0-based index over all counted rows,
-    ordered by key; it orders all split counts in one task, so it is meant for a
-    micro-batch, whose files are limited.  The columns of ``file_notes``, a table
-    with one row for some of the files, are added to the rows of those files.
+                         header: Callable[[Column], Column] | None = None) -> DataFrame:
+    """1-based row number in file order, per ``key``: the folder of the file.
+
+    ``df`` holds the ``value`` of text lines and comes from
+    :func:`with_file_position` (inside ``foreachBatch`` when it is a stream).  The
+    first ``skip`` lines of every file get numbers below 1 and do not count.
+    ``index`` adds a dense 0-based index over all counted rows, ordered by key; it
+    orders all split counts in one task, so it is meant for a micro-batch, whose
+    files are limited.  ``header`` makes a column ``_header`` out of the last
+    skipped line, to be had by every row of the file; it is NULL where there is
+    nothing to say about the header.
 
     Rows are numbered inside their file split, so the largest sort is one split.
-    The split counts, one row per split, give the offsets; without ``index`` only
-    splits with rows before them (or with notes) take part in that join, which is
-    none at all while each key is one file and each file one split.  It is keyed
-    like the numbering, so the rows are shuffled once.
+    The split table (one row per split: its length and header) comes from the same
+    exchange, so files are read and shuffled once.  Without ``index`` only splits
+    with rows before them, or with a header to tell, take part in the join that
+    brings offsets back, which is none at all while each key is one plain file of
+    one split; and that join is keyed like the numbering.
     """
-    seq = df.withColumn("_seq", F.monotonically_increasing_id())
     in_split = Window.partitionBy(FILE, BLOCK).orderBy("_seq")
-    numbered = seq.withColumn("_pos", F.row_number().over(in_split))
+    numbered = df.withColumn("_seq", F.monotonically_increasing_id()).withColumn(
+        "_pos", F.row_number().over(in_split))
 
     def before(n: str, window: WindowSpec) -> Column:
         earlier = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(n).over(earlier), F.lit(0))
 
-    in_file = before("_n", Window.partitionBy(FILE).orderBy(BLOCK))
-    in_key = before("_rows", Window.partitionBy(key).orderBy(FILE, BLOCK))
-    in_all = before("_rows", Window.orderBy(key, FILE, BLOCK))
-    starts = (
-        df.groupBy(key, FILE, BLOCK).agg(F.count("*").alias("_n"))
-        .withColumn("_file_before", in_file)
+    last_skipped = F.when((F.col("_pos") == skip) & (F.col(BLOCK) == 0), F.col("value"))
+    splits = (
+        numbered.groupBy(FILE, BLOCK)
+        .agg(F.max("_pos").alias("_n"), F.max(last_skipped).alias("_line"))
+        .withColumn(key, input_event(FILE))
+        .withColumn("_file_before", before("_n", Window.partitionBy(FILE).orderBy(BLOCK)))
         .withColumn("_rows", F.col("_n") - F.least("_n", F.greatest(
             F.lit(skip) - F.col("_file_before"), F.lit(0))))
-        .withColumn("_key_before", in_key)
+        .withColumn("_key_before", before("_rows", Window.partitionBy(key).orderBy(FILE, BLOCK)))
     )
-    offsets = ["_file_before", "_key_before"]
+    brought = ["_file_before", "_key_before"]
     needed = (F.col("_file_before") > 0) | (F.col("_key_before") > 0)
-    notes: list[str] = []
     if index:
-        starts = starts.withColumn("_all_before", in_all)
-        offsets.append("_all_before")
+        splits = splits.withColumn("_all_before", before("_rows", Window.orderBy(key, FILE, BLOCK)))
+        brought.append("_all_before")
         needed = F.lit(True)
-    if file_notes is not None:
-        notes = [c for c in file_notes.columns if c != FILE]
-        starts = starts.join(file_notes, FILE, "left")
-        for c in notes:
-            needed = needed | F.col(c).isNotNull()
-    starts = starts.where(needed).select(FILE, BLOCK, *offsets, *notes)
+    if header:
+        line = F.max("_line").over(Window.partitionBy(FILE))
+        splits = splits.withColumn("_header", header(line))
+        brought.append("_header")
+        needed = needed | F.col("_header").isNotNull()
+    offsets = splits.where(needed).select(FILE, BLOCK, *brought)
 
     def known(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
 
     skipped = F.greatest(F.lit(skip) - known("_file_before"), F.lit(0))
     in_split_row = F.col("_pos") - skipped
-    columns = [(known("_key_before") + in_split_row).alias(name)]
+    columns = [input_event(FILE).alias(key), (known("_key_before") + in_split_row).alias(name)]
     if index:
         columns.append((known("_all_before") + in_split_row - 1).alias(index))
-    return numbered.join(starts, [FILE, BLOCK], "left").select(*df.columns, *columns, *notes)
+    if header:
+        columns.append(F.col("_header"))
+    return numbered.join(offsets, [FILE, BLOCK], "left").select(*df.columns, *columns)
 
 
 def first_lines(df: DataFrame, line: int = 1) -> DataFrame:

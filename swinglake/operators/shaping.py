@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from swinglake.functions.frames import ColumnOrName, _col
 from swinglake.functions.sqltext import ident, text
 from swinglake.joints import (
-    MASTER_JOINTS, MEASURES, NON_BODY_JOINTS, POSE_MARKERS, RESCUED, TRACKER_MEASURES,
-    TRACKER_SLOTS, UNTRACKED_JOINTS, map_column, map_keys,
+    MASTER_JOINTS, NON_BODY_JOINTS, POSE_MARKERS, RESCUED, TRACKER_MEASURES,
+    TRACKER_SLOTS, map_column, map_keys,
 )
 
 
@@ -51,33 +51,23 @@ def spread_tracker(df: DataFrame) -> DataFrame:
     return df
 
 
-def pack_maps(df: DataFrame, joints: Iterable[str] = MASTER_JOINTS) -> DataFrame:
-    """Joint columns -> one ``{joint}_zip`` map per joint, other columns kept."""
+def pack_maps(df: DataFrame, joints: Iterable[str] = MASTER_JOINTS,
+              spread: bool = True) -> DataFrame:
+    """Joint columns -> one ``{joint}_zip`` map per joint, other columns kept.
+
+    Tracking quality comes from the columns of :func:`spread_tracker`, or with
+    ``spread`` off straight from the three arrays.
+    """
     maps, used = [], []
     for joint in joints:
-        columns = {key: f"{joint}_{key}" for key in map_keys(joint)}
-        entries = [f"{text(k)}, try_cast({ident(c)} AS DOUBLE)" for k, c in columns.items()]
+        entries = []
+        for key in map_keys(joint):
+            source = ident(f"{joint}_{key}")
+            if key in TRACKER_MEASURES and not spread:
+                source = f"get({key}, {TRACKER_SLOTS.index(joint)})"
+            else:
+                used.append(f"{joint}_{key}")
+            entries.append(f"{text(key)}, try_cast({source} AS DOUBLE)")
         maps.append(f"map({', '.join(entries)}) AS {ident(map_column(joint))}")
-        used += columns.values()
-    spread = [c for m in TRACKER_MEASURES for c in (m, *slot_columns(m))]
-    return df.selectExpr("*", *maps).drop(*used, *spread)
-
-
-# The pipeline shuffles rows between reading and packing.  Packing 464 + 75 columns
-# only afterwards would shuffle 540 columns per row, and maps would shuffle their
-# keys with every row; so poses travel as one array per joint and become maps last.
-
-def pose_array(joint: str) -> str:
-    """SQL for the 16 pose columns of a joint as one array of doubles."""
-    items = [f"try_cast({ident(f'{joint}_{m}')} AS DOUBLE)" for m in MEASURES]
-    return f"array({', '.join(items)})"
-
-
-def joint_map(joint: str, poses: str) -> str:
-    """SQL for a joint's map from its pose array and the tracker arrays of the row."""
-    keys = f"array({', '.join(text(k) for k in map_keys(joint))})"
-    if joint in UNTRACKED_JOINTS:
-        return f"map_from_arrays({keys}, {poses})"
-    slot = TRACKER_SLOTS.index(joint)
-    quality = [f"CAST(get({m}, {slot}) AS DOUBLE)" for m in TRACKER_MEASURES]
-    return f"map_from_arrays({keys}, concat({poses}, array({', '.join(quality)})))"
+    arrays = [c for m in TRACKER_MEASURES for c in (m, *slot_columns(m))]
+    return df.selectExpr("*", *maps).drop(*used, *arrays)

@@ -15,7 +15,7 @@ from swinglake.joints import (
     map_column, pose_column,
 )
 from swinglake.operators.joins import align_frames, enrich, match_key_frames
-from swinglake.operators.shaping import clean, joint_map, pose_array, rename_at
+from swinglake.operators.shaping import clean, pack_maps, rename_at
 from swinglake.operators.tables import append_merge
 from swinglake.streaming.sinks import drain_to_batch, write_stream
 
@@ -111,10 +111,10 @@ def tracker_frames(frames: DataFrame) -> DataFrame:
 
 
 def posed_motion(motion: DataFrame, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
-    """Clean motion rows with one pose array per joint."""
+    """Clean motion rows: place in the swing, time and pose columns."""
     return clean(motion).selectExpr(
         "input_event", "row_number", "try_cast(Timestamp AS DOUBLE) AS Timestamp",
-        *[f"{pose_array(j)} AS _pose_{j}" for j in joints])
+        *[ident(pose_column(j, m)) for j in joints for m in MEASURES])
 
 
 def aligned(motion: DataFrame, frames: DataFrame, params: DataFrame,
@@ -125,8 +125,10 @@ def aligned(motion: DataFrame, frames: DataFrame, params: DataFrame,
 
 
 def packed(joined: DataFrame, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
-    maps = [f"{joint_map(j, f'_pose_{j}')} AS {map_column(j)}" for j in joints]
-    return joined.selectExpr(*PARAMETERS, "Timestamp", "input_event", *maps)
+    """Maps are made last: made earlier, every row would shuffle its map keys, and
+    the tracker's three arrays stand for 75 columns until here."""
+    return pack_maps(joined, joints, spread=False).select(
+        *PARAMETERS, "Timestamp", "input_event", *[map_column(j) for j in joints])
 
 
 def master(motion: DataFrame, frames: DataFrame, params: DataFrame,

@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # the JVM does not compile methods beyond this size, so let Spark split them
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # stream-stream joins keep their rows on disk instead of on the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
