@@ -223,7 +223,7 @@ LANDING_GLOB = "all_games/*/event_type=batting/*"
 
 
 def _by_event(df: DataFrame):
-    """Writer that puts each event in its folder, in the order of the rows."""
+    """Writer that puts each event in its folder."""
     return df.write.partitionBy("game", "event_type", "event")
 
 
@@ -234,19 +234,14 @@ def _placed(df: DataFrame) -> DataFrame:
         F.lit("batting").alias("event_type"), event_folder(u).alias("event"))
 
 
-def _files(lines: DataFrame, target: str) -> None:
-    """Lines ``(user_id, at, value)`` as one text file per event, ordered by ``at``."""
-    ordered = (
-        _placed(lines).repartition("game", "event_type", "event")
-        .sortWithinPartitions("game", "event_type", "event", "at")
-    )
-    _by_event(ordered.select("value", "game", "event_type", "event")).text(target)
-
-
 def write_csv(spark: SparkSession, sf_dir: str) -> str:
     """``frame;cents;kind`` files with every kind of misfit: text for a number, a
     token too many, tokens missing, and (every fifth user) another column order
-    with a column more."""
+    with a column more.
+
+    Rows are range-partitioned by user and frame, so a long swing becomes several
+    files whose names sort in frame order.
+    """
     root = scratch_dir(spark, "landing-csv")
     e, u = F.col("event_id"), F.col("user_id")
     ev = numbered_events(spark, sf_dir)
@@ -259,27 +254,43 @@ def write_csv(spark: SparkSession, sf_dir: str) -> str:
         F.concat_ws(";", "event_type", note, frame, cents))
     more = F.when((e % 17 == 0) & (e % 19 != 0),
                   F.concat(F.lit(";e"), e.cast("string"))).otherwise("")
-    rows = ev.select("user_id", F.col("row_number").alias("at"), F.concat(
-        F.when(u % 5 == 0, other).otherwise(usual), more).alias("value"))
-    heads = swing_users(spark, sf_dir).select("user_id", F.lit(0).cast("long").alias("at"), F.when(
-        u % 5 == 0, F.lit("Kind;note;frame;cents")).otherwise(F.lit("frame;cents;kind")).alias("value"))
-    _files(rows.unionByName(heads), f"{root}/all_games")
+    orders = {
+        "frame;cents;kind": (u % 5 != 0, usual),
+        "Kind;note;frame;cents": (u % 5 == 0, other),
+    }
+    for head, (users, line) in orders.items():
+        # one column that is the whole line, under a header that is the whole head
+        lines = _placed(ev.where(users).select(
+            "user_id", "row_number", F.concat(line, more).alias(head)))
+        ordered = lines.repartitionByRange("event", "row_number").sortWithinPartitions(
+            "game", "event_type", "event", "row_number")
+        raw = ordered.select(head, "game", "event_type", "event")
+        _by_event(raw).mode("append").options(header=True, sep="\u0001", quote="").csv(
+            f"{root}/all_games")
     return root
 
 
+REPORT = """report AS (
+  SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)"""
+
+
 def write_reports(spark: SparkSession, sf_dir: str) -> str:
-    """Tab-separated reports with a title line and padded fields."""
+    """Tab-separated reports, one line per kind of event, with a title line and
+    padded fields.  Rows are counted before they are moved."""
     root = scratch_dir(spark, "landing-report")
-    ev = numbered_events(spark, sf_dir)
-    rows = ev.select("user_id", (F.col("row_number") + 1).alias("at"), F.concat(
-        F.lit(" "), F.col("event_type"), F.lit(" \t  "), F.col("event_id").cast("string"),
+    events = table(spark, sf_dir, "events")
+    counts = events.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    rows = counts.select("user_id", F.lit(2).alias("at"), F.concat(
+        F.lit(" "), F.col("event_type"), F.lit(" \t  "), F.col("n").cast("string"),
         F.lit(" ")).alias("value"))
     users = swing_users(spark, sf_dir)
-    titles = users.select("user_id", F.lit(0).cast("long").alias("at"), F.concat(
+    titles = users.select("user_id", F.lit(0).alias("at"), F.concat(
         F.lit("Report\tof swing "), F.col("user_id").cast("string")).alias("value"))
-    heads = users.select("user_id", F.lit(1).cast("long").alias("at"),
-                         F.lit("Measure\tReading").alias("value"))
-    _files(rows.unionByName(titles).unionByName(heads), f"{root}/all_games")
+    heads = users.select("user_id", F.lit(1).alias("at"), F.lit("Measure\tReading").alias("value"))
+    lines = _placed(rows.unionByName(titles).unionByName(heads))
+    ordered = lines.repartition("game", "event_type", "event").sortWithinPartitions(
+        "game", "event_type", "event", "at")
+    _by_event(ordered.select("value", "game", "event_type", "event")).text(f"{root}/all_games")
     return root
 
 

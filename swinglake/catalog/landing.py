@@ -66,12 +66,13 @@ def rescue_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fx.land_csv(spark, sf_dir)
     lake = Lake(scratch_dir(spark, "lake"), root)
+    # a long swing is several files here, which are numbered together in one batch
     rows = ingest_csv(spark, lake, "motion", "batting", ";", CSV_SCHEMA, stamp=True,
-                      files=_glob(root))
+                      max_files=2**31 - 1, files=_glob(root))
     return _event(rows, "frame", "cents", "kind", "_rescued_data", "row_number")
 
 
-@query("replayed_batches", CSV_SQL)
+@query("replayed_batches", f"SELECT * EXCLUDE (row_number) FROM ({CSV_SQL})")
 def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch is written twice, as after a failure between write and commit."""
     root, at = fx.land_csv(spark, sf_dir), scratch_dir(spark, "replayed")
@@ -84,24 +85,24 @@ def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         return parsed
 
     write_stream_batches(lines, rows, f"{at}/table", f"{at}/checkpoint")
-    return _event(read_batches(spark, f"{at}/table"), "frame", "cents", "kind",
-                  "_rescued_data", "row_number")
+    return _event(read_batches(spark, f"{at}/table"), "frame", "cents", "kind", "_rescued_data")
 
 
-@query("list_files", """SELECT 'game' || (user_id % 5) AS game, count(DISTINCT user_id) AS n_files
+@query("list_files", """SELECT 'game' || (user_id % 5) AS game, count(DISTINCT user_id) AS n_events
 FROM events GROUP BY 1""")
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = list_files(spark, fx.land_csv(spark, sf_dir) + "/all_games", "part-*")
     return (files.where(F.col("length") > 0)
-            .groupBy(path_game(F.col("path")).alias("game")).agg(F.count("*").alias("n_files")))
+            .groupBy(path_game(F.col("path")).alias("game"))
+            .agg(F.count_distinct(event_folder(F.col("path"))).alias("n_events")))
 
 
 # --- reports ---------------------------------------------------------------
 
-REPORT_SQL = f"""WITH {fx.EV}
+REPORT_SQL = f"""WITH {fx.REPORT}
 SELECT {fx.FOLDER_SQL} AS event, 'game' || (user_id % 5) AS game,
-  event_type AS "Measure", event_id::VARCHAR AS "Reading", NULL::VARCHAR AS _rescued_data
-FROM ev"""
+  event_type AS "Measure", n::VARCHAR AS "Reading", NULL::VARCHAR AS _rescued_data
+FROM report"""
 
 
 @query("report_files", REPORT_SQL)

@@ -85,6 +85,21 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swing_clusters(key_frames(spark, sf_dir))
 
 
+@query("cluster_totals", f"""WITH {KEYED}
+SELECT count(*) AS n_rows, 4 AS n_clusters, true AS centred
+FROM keyed k JOIN timed m ON k.input_event = m.input_event AND m."TimestampRounded" = 80
+WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS NULL""")
+def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold whichever way clusters are numbered: every swing has one of the
+    four, and latent coordinates are centred."""
+    labelled = swing_clusters(key_frames(spark, sf_dir))
+    return labelled.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("Cluster").alias("n_clusters"),
+        *[F.avg(f"LatentVector{i}").alias(f"m{i}") for i in (1, 2, 3)],
+    ).select("n_rows", "n_clusters",
+             F.greatest(*[F.abs(f"m{i}") for i in (1, 2, 3)]).between(0, 1e-9).alias("centred"))
+
+
 @query("cluster_points")
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedded = scored(_embedded(spark, sf_dir))

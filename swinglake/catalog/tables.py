@@ -56,6 +56,28 @@ def summary_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(fx.table(spark, sf_dir, "lineitem"))
 
 
+@query("percentile_ranks", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n, true AS p25, true AS p50, true AS p75 "
+    "FROM lineitem" for c in _NUMBERS))
+def percentile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each percentile of the summary has its rank, within the sketch's
+    error of one row in ten thousand."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(*_NUMBERS)
+    values = lines.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+        for c in _NUMBERS])))
+    stats = summarize(lines).select("column", "p25", "p50", "p75")
+    joined = values.join(F.broadcast(stats), "column")  # a row per column of the table
+
+    def ranked(name: str, p: float):
+        below, upto = F.avg((F.col("x") < F.col(name)).cast("int")), F.avg(
+            (F.col("x") <= F.col(name)).cast("int"))
+        return ((below <= p + 2e-4) & (upto >= p - 2e-4)).alias(name)
+
+    return joined.groupBy("column").agg(
+        F.count("*").alias("n"), ranked("p25", 0.25), ranked("p50", 0.5), ranked("p75", 0.75))
+
+
 @query("append_merge", """SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""")
 def append_merged(spark: SparkSession, sf_dir: str) -> DataFrame:

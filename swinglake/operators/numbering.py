@@ -36,7 +36,7 @@ def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "r
 
     ``df`` holds the ``value`` of text lines and comes from
     :func:`with_file_position` (inside ``foreachBatch`` when it is a stream).  The
-    first ``skip`` lines of every file get numbers below 1 and do not count.
+    first ``skip`` lines of every file do not count and have no number.
     ``index`` adds a dense 0-based index over all counted rows, ordered by key; it
     orders all split counts in one task, so it is meant for a micro-batch, whose
     files are limited.  ``header`` makes a column ``_header`` out of the last
@@ -86,9 +86,13 @@ def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "r
 
     skipped = F.greatest(F.lit(skip) - known("_file_before"), F.lit(0))
     in_split_row = F.col("_pos") - skipped
-    columns = [input_event(FILE).alias(key), (known("_key_before") + in_split_row).alias(name)]
+    counted = in_split_row > 0
+    columns = [
+        input_event(FILE).alias(key),
+        F.when(counted, known("_key_before") + in_split_row).alias(name),
+    ]
     if index:
-        columns.append((known("_all_before") + in_split_row - 1).alias(index))
+        columns.append(F.when(counted, known("_all_before") + in_split_row - 1).alias(index))
     if header:
         columns.append(F.col("_header"))
     return numbered.join(offsets, [FILE, BLOCK], "left").select(*df.columns, *columns)
@@ -181,7 +185,9 @@ def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None,
     spark = df.sparkSession
     if order_by is not None:
         order = [order_by] if isinstance(order_by, str) else list(order_by)
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        # ties, which have no order among them, are spread by a hash
+        ties = [c for c, kind in df.dtypes if not kind.startswith("map")]
+        df = df.repartitionByRange(*order, F.xxhash64(*ties)).sortWithinPartitions(*order)
     staged_at = scratch_dir(spark, "row-index")
     df.select(
         "*",
