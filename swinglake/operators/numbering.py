@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from swinglake.functions.paths import input_event
-from swinglake.session import scratch_dir
+from swinglake.session import staged
 
 FILE, BLOCK = "input_file", "_file_block"
 _MAX_HOT_KEYS = 1024
@@ -182,27 +182,24 @@ def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None,
     renumber them between the two passes; the second pass adds the number of rows
     in earlier partitions, a table with one row per partition.
     """
-    spark = df.sparkSession
     if order_by is not None:
         order = [order_by] if isinstance(order_by, str) else list(order_by)
         # ties, which have no order among them, are spread by a hash
         ties = [c for c, kind in df.dtypes if not kind.startswith("map")]
         df = df.repartitionByRange(*order, F.xxhash64(*ties)).sortWithinPartitions(*order)
-    staged_at = scratch_dir(spark, "row-index")
-    df.select(
+    rows = staged(df.select(
         "*",
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().alias("_seq"),
-    ).write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
+    ), "row-index")
 
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        staged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+        rows.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .select("_part", (F.col("_before") - F.col("_first")).alias("_shift"))
     )
     return (
-        staged.join(F.broadcast(starts), "_part")
+        rows.join(F.broadcast(starts), "_part")
         .select((F.col("_seq") + F.col("_shift")).alias(name), *df.columns)
     )

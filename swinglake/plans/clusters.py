@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from swinglake.operators.swings import (
     CLUSTERS, COMPONENTS, KEY_FRAME, SEED, fit_clusters, label_clusters, pca_scores,
     standardize, swing_features,
 )
+from swinglake.session import staged
 
 
 def scored(features: DataFrame, components: int = COMPONENTS) -> DataFrame:
-    """Standardized features and their principal component scores.  The features
-    are read three times (scaling, components, scores), so they are kept."""
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
-    return pca_scores(standardize(kept), components)
+    """Standardized features and their principal component scores.
+
+    Scaling, components and clustering pass over the features dozens of times, and
+    behind the features is the join that made the key frames; so they are staged.
+    """
+    return pca_scores(standardize(staged(features, "features")), components)
 
 
 def swing_clusters(key_frames: DataFrame, key_frame: str = KEY_FRAME, k: int = CLUSTERS,

@@ -27,10 +27,6 @@ def clean_parameters(params: DataFrame) -> DataFrame:
     return clean(params).select(*PARAMETERS, "input_event")
 
 
-def _enrich(df: DataFrame, params: DataFrame) -> DataFrame:
-    return enrich(df, clean_parameters(params), STREAM_SALTS if df.isStreaming else 1)
-
-
 # --- key frames ------------------------------------------------------------
 
 def key_frame_arrays(key_frames: DataFrame, *keep: str) -> DataFrame:
@@ -86,7 +82,7 @@ def key_frames(motion: DataFrame, key_frame_lists: DataFrame, params: DataFrame,
     17 rows and before the wide motion rows come in; being a left join on the
     event the result is the same, and the wide rows are shuffled once.
     """
-    lists = _enrich(clean(key_frame_lists), params)
+    lists = enrich(clean(key_frame_lists), clean_parameters(params))
     keep = ("input_event", *PARAMETERS)
     frames = explode_key_frames(key_frame_arrays(lists, *keep), *keep,
                                 drop_undetected=drop_undetected)
@@ -121,7 +117,9 @@ def aligned(motion: DataFrame, frames: DataFrame, params: DataFrame,
             joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
     """Tracker rows, game parameters and motion rows side by side.  Parameters go to
     the narrow tracker rows first, so the wide rows are shuffled once."""
-    return align_frames(_enrich(tracker_frames(frames), params), posed_motion(motion, joints))
+    rows = tracker_frames(frames)
+    rows = enrich(rows, clean_parameters(params), STREAM_SALTS if rows.isStreaming else 1)
+    return align_frames(rows, posed_motion(motion, joints))
 
 
 def packed(joined: DataFrame, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipelines are written for.  Sizes (shuffle partitions, split bytes)
 # belong to the cluster and are left to it.
@@ -53,3 +53,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: later passes neither
+    repeat its work nor depend on the executors that did it."""
+    at = scratch_dir(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.parquet(at)

@@ -44,7 +44,7 @@ def test_rescue_keeps_every_row(spark, tmp_path, schema):
     assert values("extra") == (3, 1.0, {"_extra_0": "9", "_extra_1": "8"}, 3)
     assert values("bad") == (None, 2.0, {"a": "x"}, 4)
     assert values("quo,ted") == (5, 6.0, None, 5)
-    assert values("space") == (7, 1.0, None, 6)
+    assert values("space") == (None, 1.0, {"a": "7"}, 6)
     assert values("swapped") == (1, None, {"more": "9"}, 1)
     assert values("both") == (None, None, {"a": "zz"}, 2)
     assert values("twice") == (1, 2.0, {"c_3": "again"}, 1)
