@@ -15,6 +15,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # wide rows are joined without sorting them when the other side of a partition
+    # has proved small enough for a hash table
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # the JVM does not compile methods beyond this size, so let Spark split them
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # stream-stream joins keep their rows on disk instead of on the heap

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from swinglake.functions import now_text
 from swinglake.operators.numbering import FILE
 
 
@@ -25,15 +26,17 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.read.table(name)
 
 
-def stream_table(spark: SparkSession, path: str, schema: StructType | None = None,
+def stream_table(spark: SparkSession, name: str, schema: StructType | None = None,
                  max_files: int | None = None, pattern: str | None = None) -> DataFrame:
-    """A parquet folder as a stream of its files."""
-    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
+    """A catalog table, or a parquet folder, as a stream of its files."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(path)
+    if "/" not in name:
+        return reader.table(name)
+    return reader.schema(schema or spark.read.parquet(name).schema).parquet(name)
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = " ",
@@ -61,3 +64,8 @@ def read_json_stream(spark: SparkSession, path: str, schema: StructType | str) -
 def with_input_file(df: DataFrame) -> DataFrame:
     """Add the path of the file each row was read from."""
     return df.select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def with_ingestion_ts(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """Add the time of ingestion as text."""
+    return df.withColumn("ingestion_timestamp", now_text(fmt))

@@ -25,10 +25,15 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Append a stream to a table folder, each row once."""
-    return drain(df.writeStream.format(fmt).outputMode("append")
-                 .option("path", path).option("checkpointLocation", checkpoint))
+def write_stream(df: DataFrame, table: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append a stream to a table folder, each row once; or to a catalog table, when
+    ``table`` is a name and not a path."""
+    writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if "/" in table:
+        return drain(writer.option("path", table))
+    query = writer.trigger(availableNow=True).toTable(table)
+    query.awaitTermination()
+    return query
 
 
 def for_each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None],

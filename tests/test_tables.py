@@ -8,7 +8,8 @@ from swinglake.joints import key_frames_schema, master_schema
 from swinglake.operators.profile import event_count, profile_layer, row_count, stage_counts, summarize
 from swinglake.operators.tables import append_merge, compact, ensure_layers, ensure_table
 from swinglake.plans.validate import validate
-from swinglake.sources.files import list_files
+from swinglake.sources.files import list_files, read_table, stream_table
+from swinglake.streaming import write_stream
 
 
 def test_layers_and_typed_tables(spark, tmp_path):
@@ -62,3 +63,15 @@ def test_counts_and_summary(spark):
     assert (s["p25"], s["p50"], s["p75"]) == (25.0, 50.0, 75.0)
     stages = stage_counts({"a": df, "b": df.limit(3)})
     assert {r["stage"]: r["n_rows"] for r in stages.collect()} == {"a": 100, "b": 3}
+
+
+def test_streams_between_catalog_tables(spark, tmp_path):
+    name = ensure_layers(spark, f"t{uuid.uuid4().hex[:8]}_", str(tmp_path))[1]
+    spark.range(5).write.saveAsTable(f"{name}.source")
+    for _ in range(2):  # the second run finds nothing new
+        stream = stream_table(spark, f"{name}.source").where("id > 1")
+        write_stream(stream, f"{name}.target", f"{tmp_path}/checkpoint")
+    assert sorted(r[0] for r in read_table(spark, f"{name}.target").collect()) == [2, 3, 4]
+    spark.range(7, 8).write.insertInto(f"{name}.source")
+    write_stream(stream_table(spark, f"{name}.source"), f"{name}.target", f"{tmp_path}/checkpoint")
+    assert read_table(spark, f"{name}.target").count() == 4
