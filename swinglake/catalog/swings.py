@@ -86,7 +86,7 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cluster_totals", f"""WITH {KEYED}
-SELECT count(*) AS n_rows, 4 AS n_clusters, true AS centred
+SELECT count(*) AS n_rows, 4::BIGINT AS n_clusters, true AS centred
 FROM keyed k JOIN timed m ON k.input_event = m.input_event AND m."TimestampRounded" = 80
 WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS NULL""")
 def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def total_squares(df: DataFrame, column: str = "scores") -> float:
 
 
 def kmeans_sweep(df: DataFrame, ks: Iterable[int] = SWEEP, seed: int = SEED,
-                 column: str = "scores", parallelism: int = 4) -> DataFrame:
+                 column: str = "scores", parallelism: int = 8) -> DataFrame:
     """Within-cluster squares for every ``k``, as ``(k, wcss)``.
 
     The fits are independent and their jobs small (three numbers per swing), so
