@@ -47,12 +47,12 @@ rates AS (SELECT s, CASE WHEN b = 0 THEN 1.0::DOUBLE ELSE
 dist AS (SELECT s, rate, 0 AS i, exp(-rate) AS p, exp(-rate) AS c FROM rates
   UNION ALL SELECT s, rate, i + 1, p * rate / (i + 1), c + p * rate / (i + 1) FROM dist
   WHERE i + 1 <= ceil(rate + 12 * sqrt(rate) + 30)),
-cdf AS (SELECT s, any_value(rate) AS rate, list(c) AS cs FROM dist GROUP BY s),
 drawn AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), text, '') AS name FROM {docs}),
 units AS (SELECT *, ('0x' || substr(md5('mix:' || name), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS u
   FROM drawn),
-counted AS (SELECT units.*, rate, CAST(len(list_filter(cs, c -> c <= u)) AS INTEGER) AS copies
-  FROM units JOIN cdf ON units.source IS NOT DISTINCT FROM cdf.s),
+counted AS (SELECT units.*, rate, CAST((SELECT count(*) FROM dist
+    WHERE dist.s IS NOT DISTINCT FROM units.source AND dist.c <= units.u) AS INTEGER) AS copies
+  FROM units JOIN rates ON units.source IS NOT DISTINCT FROM rates.s),
 copied AS (SELECT *, unnest(range(1, copies + 1)) AS k FROM counted)
 SELECT {cols} FROM copied"""
 
