@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swinglake.llm import mixing
+from swinglake.llm import decontamination, mixing, toxicity
 from swinglake.llm.catalog import write_and_digest
 from swinglake.llm.common import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain does not call toxic."""
+    chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), toxicity.label_categories())
+    return toxicity.without_toxic(docs.select(*COLUMNS), chain)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontamination.without_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that each source has a share as the root of its bytes."""
     return mixing.mix(docs).select(*COLUMNS)
@@ -22,6 +33,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("token_ids", token_ids),
 ]

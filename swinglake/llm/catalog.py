@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import mixing, sharding, token_orc
+from swinglake.llm import decontamination, mixing, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -37,6 +37,20 @@ def virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+@query("op2_toxicity_chain")
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of every document, and whether the toxicity stage rejects it."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), toxicity.label_categories())
+    return toxicity.scores(docs, chain).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
+@query("op5_benchmark_wand")
+def benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a test item, with the item and what overlaps."""
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 MIX_SQL = """
 WITH RECURSIVE sizes AS (
   SELECT source AS s, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS b FROM {docs} GROUP BY source),

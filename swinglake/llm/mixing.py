@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swinglake.llm.common import unit_hash
+from swinglake.llm.common import staged, unit_hash
 
 MAX_RATE = 500.0      # beyond it exp(-rate) leaves the range of doubles
 ADDED = ("rate", "copies", "copy", "shuffle_key")
@@ -58,8 +58,8 @@ def replicate(docs: DataFrame, rates: DataFrame, *, source: str = "source", seed
     """``docs`` repeated and shuffled, with ``rate``, ``copies``, ``copy`` (from 1) and ``shuffle_key``.
 
     Rows with equal ids draw the same number; a row without id draws by its text.
-    ``rates`` has a row per source: Spark broadcasts it when it has proved small,
-    else the adaptive join splits large sources.  The shuffle key is uniform, so
+    ``rates`` has a row per source and is read from files, whose size decides: Spark
+    broadcasts it below its limit, else the adaptive join splits large sources.  The shuffle key is uniform, so
     hash partitions sorted by it are a random order of the whole.
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
@@ -81,4 +81,4 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, *, source: str = "sou
     """
     sizes = source_bytes(docs, source)
     rates = repetition_rates(sizes, root_weights(sizes) if weights is None else weights, epochs)
-    return replicate(docs, rates, source=source, seed=seed)
+    return replicate(docs, staged(rates, "mix-rates"), source=source, seed=seed)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,10 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 _PUNCTUATION = ".,;:!?"
-_CACHE = 400_000      # entries; bounds a worker's memory, not what is encoded
-
-
-def _latin_letters() -> frozenset[str]:
-    return frozenset(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªº") | frozenset("0123456789")
+_CACHE = 500_000      # entries; bounds a worker's memory, not what is encoded
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_MARKS = frozenset("ªº")      # letters by name only
+_LETTERS = frozenset(c for c in map(chr, range(256)) if c.isalpha()) - _MARKS
 
 
 class WordEncoder(dict):
@@ -45,29 +45,40 @@ class WordEncoder(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
-        self.letters = _latin_letters()
+        # the model reads bytes spelled as characters; the tokenizer itself says how
+        self.spelling = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
+                         for c in _LETTERS if c == c.lower() and not c.isascii()}
+        self.ends = _LETTERS | frozenset("0123456789")
 
     def encode(self, text: str) -> bytes:
+        if any(c in text for c in _SEPARATORS):      # white space to Python, not to the tokenizer
+            return self._ids(text)
         return b"".join(map(self.__getitem__, text.split()))
 
+    def _ids(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}i", *ids)
+
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            t = self.tokenizer
-            if piece.isascii() and piece.isalpha():     # already what the model itself works on
-                ids = [x.id for x in t.model.tokenize(piece)]
+            if piece.isalpha() and piece == piece.lower() and max(piece) < "Ā" and not _MARKS & set(piece):
+                ids = [x.id for x in self.model.tokenize(piece.translate(self.spelling))]
+                known = pack(f"<{len(ids)}i", *ids)
             else:
-                ids = t.encode(piece, add_special_tokens=False).ids
-            known = self.pieces[piece] = np.array(ids, dtype="<i4").tobytes()
+                known = self._ids(piece)
+            if len(self.pieces) > _CACHE:
+                self.pieces.clear()
+            self.pieces[piece] = known
         return known
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > _CACHE:
             self.clear()
-            self.pieces.clear()
         base = word.rstrip(_PUNCTUATION)
-        if base and base[-1] in self.letters:
+        if base and base[-1] in self.ends:
             ids = self._piece(base.lower() if max(base) < "Ā" else base)
             if len(base) < len(word):
                 ids += self._piece(word[len(base):])
