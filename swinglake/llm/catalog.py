@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import decontamination, mixing, sharding, token_orc, toxicity
+from swinglake.llm import decontamination, jaccard, mixing, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -51,6 +51,12 @@ def benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_signature_trees")
+def signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 MIX_SQL = """
 WITH RECURSIVE sizes AS (
   SELECT source AS s, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS b FROM {docs} GROUP BY source),

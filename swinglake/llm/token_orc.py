@@ -8,6 +8,7 @@ some documents skip all other stripes and row groups.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from struct import pack
@@ -28,9 +29,10 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 _PUNCTUATION = ".,;:!?"
-_CACHE = 500_000      # entries; bounds a worker's memory, not what is encoded
+_CACHE = 700_000      # entries; bounds a worker's memory, not what is encoded
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _MARKS = frozenset("ªº")      # letters by name only
+_plain = re.compile("[a-zß-öø-ÿ]+").fullmatch      # lower-case letters, composed as they are
 _LETTERS = frozenset(c for c in map(chr, range(256)) if c.isalpha()) - _MARKS
 
 
@@ -64,22 +66,23 @@ class WordEncoder(dict):
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            if piece.isalpha() and piece == piece.lower() and max(piece) < "Ā" and not _MARKS & set(piece):
-                ids = [x.id for x in self.model.tokenize(piece.translate(self.spelling))]
+            if _plain(piece):
+                spelt = piece if piece.isascii() else piece.translate(self.spelling)
+                ids = [x.id for x in self.model.tokenize(spelt)]
                 known = pack(f"<{len(ids)}i", *ids)
             else:
                 known = self._ids(piece)
-            if len(self.pieces) > _CACHE:
+            if len(self.pieces) >= _CACHE:
                 self.pieces.clear()
             self.pieces[piece] = known
         return known
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > _CACHE:
+        if len(self) >= _CACHE:
             self.clear()
         base = word.rstrip(_PUNCTUATION)
         if base and base[-1] in self.ends:
-            ids = self._piece(base.lower() if max(base) < "Ā" else base)
+            ids = self._piece(base.lower() if base.isascii() or max(base) < "Ā" else base)
             if len(base) < len(word):
                 ids += self._piece(word[len(base):])
         else:
