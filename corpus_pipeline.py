@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swinglake.llm import decontamination, mixing, toxicity
+from swinglake.llm import decontamination, jaccard, mixing, toxicity
 from swinglake.llm.catalog import write_and_digest
 from swinglake.llm.common import staged, table
 
@@ -17,6 +17,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs.select(*COLUMNS), chain)
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component."""
+    return jaccard.one_of_each(docs.select(*COLUMNS))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
     return decontamination.without_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_copies),
     ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("token_ids", token_ids),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import decontamination, jaccard, mixing, sharding, token_orc, toxicity
+from swinglake.llm import decontamination, jaccard, lm, mixing, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -45,6 +45,12 @@ def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, chain).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
 
 
+@query("op4_backoff_automaton")
+def backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under a model of those not held out."""
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 @query("op5_benchmark_wand")
 def benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a test item, with the item and what overlaps."""

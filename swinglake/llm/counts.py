@@ -30,10 +30,10 @@ class Layout:
     buckets: int
 
 
-def layout(docs: DataFrame, keys_per_word: int = 1) -> Layout:
+def layout(docs: DataFrame, keys_per_word: int = 1, block_bytes: int = BLOCK_BYTES) -> Layout:
     """Blocks and buckets for the bytes of ``text``."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    return Layout(max(1, math.ceil(size / BLOCK_BYTES)),
+    return Layout(max(1, math.ceil(size / block_bytes)),
                   max(1, math.ceil(size * keys_per_word / WORD_BYTES / BUCKET_KEYS)))
 
 
@@ -55,11 +55,14 @@ def _edges(buckets: int) -> np.ndarray:
     return np.array([(i << 64) // buckets for i in range(1, buckets)], dtype=np.uint64)
 
 
-def totals(blocks: DataFrame, keys: Keys, at: Layout) -> DataFrame:
-    """``block, bucket, counts`` for a table with a column ``block``.
+def totals(blocks: DataFrame, keys: Keys, at: Layout,
+           tally: Callable[[np.ndarray, np.ndarray], int] | None = None) -> DataFrame:
+    """``block, bucket, totals`` for a table with a column ``block``.
 
     ``keys`` turns the rows of a block into distinct keys (sorted uint64) and their counts
     there (uint32); it is run once more where the totals are used, see ``answers``.
+    ``tally`` makes a number of a bucket's distinct keys and totals; it comes as a row of
+    block -1, see ``tallied``.
     """
     edges = _edges(at.buckets)
 
@@ -81,8 +84,11 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout) -> DataFrame:
         total = np.bincount(place, weights=counts, minlength=len(distinct))
         answer = np.minimum(total, 2 ** 32 - 1).astype("<u4")[place]
         ends = np.cumsum([len(p) for p in parts])
-        return pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
-                             "totals": [_planes(a) for a in np.split(answer, ends[:-1])]})
+        out = pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
+                            "totals": [_planes(a) for a in np.split(answer, ends[:-1])]})
+        if tally is not None:
+            out.loc[len(out)] = (-1, frame["bucket"].iat[0], int(tally(distinct, total)).to_bytes(8))
+        return out
 
     asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, block int, keys binary, counts binary")
     return asked.groupBy("bucket").applyInPandas(add, "block int, bucket int, totals binary")
@@ -92,3 +98,9 @@ def answers(frame: pd.DataFrame) -> np.ndarray:
     """Totals of a block's keys, in the order of the sorted keys, from its rows of ``totals``."""
     parts: Iterable[bytes] = frame.sort_values("bucket")["totals"]
     return np.concatenate([np.empty(0, "<u4"), *(_values(p, "<u4") for p in parts)]).astype(np.int64)
+
+
+def tallied(counted: DataFrame) -> int:
+    """Sum of the buckets' tallies: one number per bucket is read, added up where it lies."""
+    value = F.conv(F.hex("totals"), 16, 10).cast("long")
+    return counted.where("block = -1").agg(F.coalesce(F.sum(value), F.lit(0))).first()[0]
