@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import decontamination, jaccard, lm, mixing, sharding, token_orc, toxicity
+from swinglake.llm import decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -63,6 +63,19 @@ def signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_information_sanitisation")
+def information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents, and the terms that give it away."""
+    cleaned = pii.sanitize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.expr(f"cast(size(filter(pii_spans, s -> s.kind = '{kind}')) AS bigint)")
+    spelt = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    return cleaned.select(
+        "doc_id", *(of(k.name).alias(f"n_{k.name}") for k in pii.KINDS),
+        F.sha2(F.expr(spelt.format("filter(pii_spans, s -> s.kind <> 'term')")), 256).alias("base_sha256"),
+        F.expr(spelt.format("pii_spans")).alias("spans"), of("term").alias("n_term"),
+        F.crc32(F.col("sanitized").cast("binary")).alias("sanitized_crc32"))
+
+
 MIX_SQL = """
 WITH RECURSIVE sizes AS (
   SELECT source AS s, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS b FROM {docs} GROUP BY source),
