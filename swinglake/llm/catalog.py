@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
+from swinglake.llm import ann, decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -45,6 +45,13 @@ def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, chain).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
 
 
+@query("op3_multi_index")
+def multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
 @query("op4_backoff_automaton")
 def backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probabilities of all documents under a model of those not held out."""
