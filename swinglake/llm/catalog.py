@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import ann, decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
+from swinglake.llm import ann, chat, decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -121,3 +121,9 @@ def write_and_digest(docs: DataFrame) -> DataFrame:
     path = scratch_dir(docs.sparkSession, "token-orc")
     token_orc.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"))
     return token_orc.digests(token_orc.read_tokens(docs.sparkSession, path))
+
+
+@query("op10_quotation_linking")
+def quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order, without quotes."""
+    return chat.conversations(table(spark, sf_dir, "conversations"))
