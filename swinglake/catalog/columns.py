@@ -28,11 +28,13 @@ def row_number_per_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_number(events, "user_id", "event_id")
 
 
-@query("row_number_hot_events", ROW_NUMBER_SQL)
+@query("row_number_hot_events", """SELECT event_id, event_type,
+  row_number() OVER (PARTITION BY event_type ORDER BY lpad(event_id::VARCHAR, 12, '0')) AS row_number FROM events""")
 def row_number_hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way a huge event takes, with the limit set low enough to take it here."""
-    events = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    return with_row_number(events, "user_id", "event_id", hot_rows=60, buckets=8)
+    """Few keys with much of the table each, a constant leading column and text behind it."""
+    events = fx.table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.lit(1).alias("same"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("text"))
+    return with_row_number(events, "event_type", ["same", "text"]).drop("same", "text")
 
 
 @query("row_index_global", """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index,

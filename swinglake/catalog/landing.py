@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from swinglake.catalog import fixtures as fx
 from swinglake.catalog.registry import query
 from swinglake.functions import event_folder, parse_json, path_game
+from swinglake.operators.numbering import with_file_numbers
 from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
 from swinglake.session import scratch_dir
 from swinglake.sources.delimited import (
@@ -66,26 +67,41 @@ def rescue_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fx.land_csv(spark, sf_dir)
     lake = Lake(scratch_dir(spark, "lake"), root)
-    # a long swing is several files here, which are numbered together in one batch
+    # a long swing is several files here, and they come in several batches
     rows = ingest_csv(spark, lake, "motion", "batting", ";", CSV_SCHEMA, stamp=True,
-                      max_files=2**31 - 1, files=_glob(root))
+                      max_files=_third(spark, root), files=_glob(root))
     return _event(rows, "frame", "cents", "kind", "_rescued_data", "row_number")
 
 
-@query("replayed_batches", f"SELECT * EXCLUDE (row_number) FROM ({CSV_SQL})")
+def _third(spark: SparkSession, root: str) -> int:
+    """A third of the landing files, so that batches cut events."""
+    return -(-list_files(spark, root + "/all_games", "part-*").count() // 3)
+
+
+@query("ingest_row_index", f"""SELECT event, row_number,
+  row_number() OVER (ORDER BY game, event, row_number) - 1 AS row_index FROM ({CSV_SQL})""")
+def ingest_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index over all rows of a table that came in three batches."""
+    root = fx.land_csv(spark, sf_dir)
+    rows = ingest_csv(spark, Lake(scratch_dir(spark, "lake"), root), "motion", "batting", ";", CSV_SCHEMA,
+                      max_files=_third(spark, root), files=_glob(root))
+    return _event(rows, "row_number", "row_index").drop("game")
+
+
+@query("replayed_batches", CSV_SQL)
 def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch is written twice, as after a failure between write and commit."""
     root, at = fx.land_csv(spark, sf_dir), scratch_dir(spark, "replayed")
-    users = fx.swing_users(spark, sf_dir).count()
-    lines = text_line_stream(spark, _glob(root), max_files=-(-users // 3))
+    lines = text_line_stream(spark, _glob(root), max_files=_third(spark, root))
 
     def rows(batch: DataFrame, batch_id: int) -> DataFrame:
-        parsed = parse_lines(batch, CSV_SCHEMA, ";")
+        parsed = parse_lines(batch, CSV_SCHEMA, ";", file_row="file_row")
         parsed.write.mode("overwrite").parquet(f"{at}/table/batch_id={batch_id}")
         return parsed
 
     write_stream_batches(lines, rows, f"{at}/table", f"{at}/checkpoint")
-    return _event(read_batches(spark, f"{at}/table"), "frame", "cents", "kind", "_rescued_data")
+    numbered = with_file_numbers(read_batches(spark, f"{at}/table"))
+    return _event(numbered, "frame", "cents", "kind", "_rescued_data", "row_number")
 
 
 @query("list_files", """SELECT 'game' || (user_id % 5) AS game, count(DISTINCT user_id) AS n_events

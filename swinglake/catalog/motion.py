@@ -183,6 +183,32 @@ def master_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         _batch(spark, b.params), f"{at}/table", at))
 
 
+@query("master_batch_rerun", MASTER_SQL)
+def master_batch_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs: with half of the motion rows and a third of the tracker rows, with nothing
+    new, with the rest, and with nothing again."""
+    b, at = fx.bronze(spark, sf_dir), scratch_dir(spark, "master-rerun")
+    share = F.pmod(F.xxhash64("input_event", "row_number"), F.lit(6))
+    early = {"motion": share < 3, "frames": share % 3 == 0}
+
+    def land(name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{at}/landed/{name}")
+
+    def run() -> DataFrame:
+        return silver.master_batch(
+            stream_table(spark, f"{at}/landed/motion"), stream_table(spark, f"{at}/landed/frames"),
+            _batch(spark, b.params), f"{at}/table", at)
+
+    for name, first in early.items():
+        land(name, _batch(spark, getattr(b, name)).where(first))
+    run()
+    run()
+    for name, first in early.items():
+        land(name, _batch(spark, getattr(b, name)).where(~first))
+    run()
+    return _digested(run())
+
+
 @query("align_rows", f"""WITH {ALIGNED}
 SELECT m.input_event, m.row_number, m."Timestamp", f.event_id AS frame_index,
        m.event_id AS motion_index

@@ -1,9 +1,9 @@
 """Row numbers in file order and per event, safe when one event is huge.
 
 A plain ``row_number() over (partition by event)`` sorts a whole event in one
-task.  Here every sorted group is a slice of bounded size (a file split, or a
-value range of a large event), and the number of rows in earlier slices is added
-from a small table of slice counts.
+task.  Here rows are numbered in slices of bounded size (file splits, or ranges of
+event and order), and the number of rows in earlier slices is added from a small
+table of slice counts.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from swinglake.functions.paths import input_event
 from swinglake.session import staged
 
 FILE, BLOCK = "input_file", "_file_block"
-_MAX_HOT_KEYS = 1024
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
@@ -29,148 +28,129 @@ def with_file_position(df: DataFrame) -> DataFrame:
     )
 
 
+def _before(n: str, window: WindowSpec) -> Column:
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+
+def total_before(df: DataFrame, order: Sequence[str], n: str, name: str) -> DataFrame:
+    """Sum of ``n`` over all rows earlier in ``order``.  Range partitions are summed
+    apart; one task only sees a row per partition."""
+    ranged = staged(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    parts = ranged.groupBy("_part").agg(F.sum(n).alias("_all")).select(
+        F.col("_part"), _before("_all", Window.orderBy("_part")).alias("_earlier"))
+    within = _before(n, Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_within", within).join(F.broadcast(parts), "_part").withColumn(
+        name, F.col("_earlier") + F.col("_within")).drop("_part", "_within", "_earlier")
+
+
+def file_offsets(files: DataFrame, key: str, index: bool) -> DataFrame:
+    """Rows before each file: of its key (``_key_before``) and, with ``index``, of all
+    (``_all_before``).  ``files`` has a row per file: key, path and number of rows ``_rows``."""
+    out = files.withColumn("_key_before", _before("_rows", Window.partitionBy(key).orderBy(FILE)))
+    return total_before(out, [key, FILE], "_rows", "_all_before") if index else out
+
+
+def with_file_numbers(rows: DataFrame, file_row: str = "file_row", key: str = "input_event",
+                      name: str = "row_number", index: str | None = None) -> DataFrame:
+    """Row numbers per key, in file order, out of each row's place in its file.
+
+    They depend on the files alone: not on the batches or runs the files came in, nor on
+    a batch that was run again.  ``index`` adds a dense 0-based index over all rows, by key and file.
+    The table of files is read from storage, whose size decides whether it is broadcast.
+    """
+    files = rows.groupBy(key, FILE).agg(F.max(file_row).cast("long").alias("_rows"))
+    offsets = staged(file_offsets(files, key, index is not None).drop(key, "_rows"), "file-offsets")
+    front = [(F.col("_all_before") + F.col(file_row) - 1).alias(index)] if index else []
+    return rows.join(offsets, FILE).select(
+        *front, *[c for c in rows.columns if c != file_row], (F.col("_key_before") + F.col(file_row)).alias(name))
+
+
 def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "row_number",
-                         skip: int = 0, index: str | None = None,
+                         skip: int = 0, index: str | None = None, per_file: bool = False,
                          header: Callable[[Column], Column] | None = None) -> DataFrame:
-    """1-based row number in file order, per ``key``: the folder of the file.
+    """1-based row number in file order, per ``key`` (the folder of the file) or ``per_file``.
 
     ``df`` holds the ``value`` of text lines and comes from
     :func:`with_file_position` (inside ``foreachBatch`` when it is a stream).  The
     first ``skip`` lines of every file do not count and have no number.
-    ``index`` adds a dense 0-based index over all counted rows, ordered by key; it
-    orders all split counts in one task, so it is meant for a micro-batch, whose
-    files are limited.  ``header`` makes a column ``_header`` out of the last
-    skipped line, to be had by every row of the file; it is NULL where there is
+    ``index`` adds a dense 0-based index over all counted rows, ordered by key and file.
+    ``header`` makes a column ``_header`` out of the last skipped line, wherever in the
+    file its split is, to be had by every row of the file; it is NULL where there is
     nothing to say about the header.
 
-    Rows are numbered inside their file split, so the largest sort is one split.
-    The split table (one row per split: its length and header) comes from the same
-    exchange, so files are read and shuffled once.  Without ``index`` only splits
-    with rows before them, or with a header to tell, take part in the join that
-    brings offsets back, which is none at all while each key is one plain file of
-    one split; and that join is keyed like the numbering.
+    Lines are neither shuffled nor sorted.  A scan gives the lines of a split ascending
+    ids, so a line's place is its id less the split's least one, plus the lines of the
+    file's earlier splits.  These come from a table with one row per split, made by a
+    scan of its own and read from storage, whose size decides whether it is broadcast.
     """
-    in_split = Window.partitionBy(FILE, BLOCK).orderBy("_seq")
-    numbered = df.withColumn("_seq", F.monotonically_increasing_id()).withColumn(
-        "_pos", F.row_number().over(in_split))
-
-    def before(n: str, window: WindowSpec) -> Column:
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(n).over(earlier), F.lit(0))
-
-    last_skipped = F.when((F.col("_pos") == skip) & (F.col(BLOCK) == 0), F.col("value"))
+    numbered = df.withColumn("_seq", F.monotonically_increasing_id())
     splits = (
-        numbered.groupBy(FILE, BLOCK)
-        .agg(F.max("_pos").alias("_n"), F.max(last_skipped).alias("_line"))
-        .withColumn(key, input_event(FILE))
-        .withColumn("_file_before", before("_n", Window.partitionBy(FILE).orderBy(BLOCK)))
-        .withColumn("_rows", F.col("_n") - F.least("_n", F.greatest(
-            F.lit(skip) - F.col("_file_before"), F.lit(0))))
-        .withColumn("_key_before", before("_rows", Window.partitionBy(key).orderBy(FILE, BLOCK)))
+        numbered.groupBy(FILE, BLOCK).agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
+        .withColumn("_lines_before", _before("_n", Window.partitionBy(FILE).orderBy(BLOCK)))
+        .withColumn("_shift", F.col("_lines_before") - F.col("_first") + 1 - skip)
     )
-    brought = ["_file_before", "_key_before"]
-    needed = (F.col("_file_before") > 0) | (F.col("_key_before") > 0)
-    if index:
-        splits = splits.withColumn("_all_before", before("_rows", Window.orderBy(key, FILE, BLOCK)))
-        brought.append("_all_before")
-        needed = F.lit(True)
+    if per_file:
+        splits = splits.withColumn("_key_before", F.lit(0).cast("long"))
+    else:
+        files = splits.groupBy(FILE).agg(F.greatest(F.sum("_n") - skip, F.lit(0)).alias("_rows")).withColumn(
+            key, input_event(FILE))
+        splits = splits.join(file_offsets(files, key, index is not None).drop(key, "_rows"), FILE)
+    brought = ["_shift", "_key_before", *(["_all_before"] if index else [])]
+    splits = staged(splits.select(FILE, BLOCK, *brought), "splits")
     if header:
-        line = F.max("_line").over(Window.partitionBy(FILE))
-        splits = splits.withColumn("_header", header(line))
+        at_header = numbered.join(splits, [FILE, BLOCK]).where(F.col("_seq") + F.col("_shift") == 0)
+        headers = at_header.select(FILE, header(F.col("value")).alias("_header")).where("_header IS NOT NULL")
+        splits = staged(splits.join(staged(headers, "headers"), FILE, "left"), "splits")
         brought.append("_header")
-        needed = needed | F.col("_header").isNotNull()
-    offsets = splits.where(needed).select(FILE, BLOCK, *brought)
-
-    def known(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    skipped = F.greatest(F.lit(skip) - known("_file_before"), F.lit(0))
-    in_split_row = F.col("_pos") - skipped
-    counted = in_split_row > 0
-    columns = [
-        input_event(FILE).alias(key),
-        F.when(counted, known("_key_before") + in_split_row).alias(name),
-    ]
+
+    in_file = F.col("_seq") + F.col("_shift")
+    columns = [input_event(FILE).alias(key),
+               F.when(in_file > 0, F.col("_key_before") + in_file).alias(name)]
     if index:
-        columns.append(F.when(counted, known("_all_before") + in_split_row - 1).alias(index))
+        columns.append(F.when(in_file > 0, F.col("_all_before") + in_file - 1).alias(index))
     if header:
         columns.append(F.col("_header"))
-    return numbered.join(offsets, [FILE, BLOCK], "left").select(*df.columns, *columns)
+    return numbered.join(splits, [FILE, BLOCK]).select(*df.columns, *columns)
 
 
 def first_lines(df: DataFrame, line: int = 1) -> DataFrame:
-    """Line ``line`` of every file, for small ``line``.  The limit on the row number
-    is applied before the shuffle, so only a few lines per file are moved."""
-    seq = df.where(F.col(BLOCK) == 0).withColumn("_seq", F.monotonically_increasing_id())
-    at = F.row_number().over(Window.partitionBy(FILE).orderBy("_seq"))
-    return seq.withColumn("_at", at).where(F.col("_at") <= line).where(
-        F.col("_at") == line).drop("_at", "_seq")
-
-
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str],
-              suffix: str) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k + suffix])
-    return cond
+    """Line ``line`` of every file, wherever its split begins; other lines stay where they are."""
+    numbered = number_in_file_order(df, name="_at", per_file=True)
+    return numbered.where(F.col("_at") == line).select(*df.columns)
 
 
 def with_row_number(df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str],
-                    name: str = "row_number", hot_rows: int = 5_000_000,
-                    buckets: int = 256) -> DataFrame:
-    """1-based row number per key, ascending by ``order_by``.
-
-    One narrow counting job tells whether any key is large; if none is, this is a
-    plain window.  A key with more than ``hot_rows`` rows (and more than 1/1024 of
-    the table, so that there are at most 1024 such keys and their tables may be
-    broadcast) is cut into ``buckets`` ranges of its leading order column, which
-    are numbered apart and then shifted by the size of the ranges before them.
-    That column must then be a number, a date or a timestamp.
+                    name: str = "row_number") -> DataFrame:
+    """1-based row number per key, ascending by ``order_by``; rows that tie are in no order.
+
+    Rows are dealt by ranges of key, order and a hash of the row, so a key of any size
+    spreads over as many partitions as its rows fill, whatever its order columns
+    are.  They are numbered inside their partition and shifted by the key's rows in
+    earlier ones, a table with a row per partition and key there.  The dealt rows are
+    written once, so a retry cannot deal them anew between the two passes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    lead = F.col(order[0])
-
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    limit = max(hot_rows, (total or 0) // _MAX_HOT_KEYS)
-    if (largest or 0) <= limit:
-        per_key = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(per_key).cast("long"))
-
-    hot = counts.where(F.col("_n") > limit).select(
-        [F.col(k).alias(f"{k}__h") for k in keys])
-
-    steps = [i / buckets for i in range(1, buckets)]
-    bounds = (
-        df.join(F.broadcast(hot), _same_key(df, hot, keys, "__h"))
-        .groupBy([F.col(k).alias(f"{k}__b") for k in keys])
-        .agg(F.percentile_approx(lead, steps, 20 * buckets).alias("_bounds"))
-    )
-    placed = df.join(F.broadcast(bounds), _same_key(df, bounds, keys, "__b"), "left")
-    below = F.size(F.filter("_bounds", lambda b: b < lead))
-    is_hot = F.col("_bounds").isNotNull()
-    sliced = placed.select(
-        *[df[c] for c in df.columns],
-        F.when(is_hot, below).otherwise(-1).alias("_bucket"),
+    ties = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+    rows = staged(
+        df.withColumn("_tie", ties).repartitionByRange(*keys, *order, "_tie")
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_seq", F.monotonically_increasing_id()), "row-number")
+
+    by_key = Window.partitionBy(*[f"{k}__o" for k in keys]).orderBy("_part__o")
+    shifts = (
+        rows.groupBy(*[F.col(k).alias(f"{k}__o") for k in keys], F.col("_part").alias("_part__o"))
+        .agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+        .withColumn("_before", F.coalesce(
+            F.sum("_n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .select(*[f"{k}__o" for k in keys], "_part__o", (F.col("_before") - F.col("_first") + 1).alias("_shift"))
     )
-
-    in_slice = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    numbered = sliced.withColumn("_pos", F.row_number().over(in_slice))
-
-    earlier = (Window.partitionBy(*[f"{k}__o" for k in keys]).orderBy("_bucket__o")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = (
-        sliced.where(F.col("_bucket") >= 0)
-        .groupBy([F.col(k).alias(f"{k}__o") for k in keys] + [F.col("_bucket").alias("_bucket__o")])
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
-        .where(F.col("_before") > 0)
-    )
-    shifted = numbered.join(
-        F.broadcast(starts), _same_key(numbered, starts, [*keys, "_bucket"], "__o"), "left")
-    number = F.col("_pos") + F.coalesce(F.col("_before"), F.lit(0))
-    return shifted.select(*[numbered[c] for c in df.columns], number.alias(name))
+    same = F.col("_part") == F.col("_part__o")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}__o"))
+    return rows.join(shifts, same).select(*df.columns, (F.col("_seq") + F.col("_shift")).alias(name))
 
 
 def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None,

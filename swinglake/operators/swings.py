@@ -116,12 +116,14 @@ def elbow(sweep: DataFrame) -> DataFrame:
 
 
 def label_clusters(df: DataFrame, model: KMeansModel) -> DataFrame:
-    """Features with their latent coordinates, cluster number and cluster name."""
+    """Features with their latent coordinates, cluster number and cluster name; as many
+    coordinates as the clusters were made from."""
+    components = len(model.clusterCenters()[0])
     scores = vector_to_array("scores")
     labelled = model.transform(df)
     return labelled.select(
         *[c for c in df.columns if c not in ("features", "scaled", "scores")],
-        *[scores[i].alias(f"LatentVector{i + 1}") for i in range(COMPONENTS)],
+        *[scores[i].alias(f"LatentVector{i + 1}") for i in range(components)],
         F.col("prediction").alias("Cluster K-means PCA"),
         F.concat(F.lit("Cluster"), F.col("prediction") + 1).alias("Cluster"))
 

@@ -63,7 +63,7 @@ def compact(spark: SparkSession, source: str, target: str,
     the table.  The remaining plain columns break ties in the range partitioning,
     so that one key with much of the data is still spread over many files.
     """
-    df = spark.read.parquet(source)
+    df = read_merged(spark, source)
     size = list_files(spark, source).agg(F.sum("length")).first()[0] or 0
     files = max(1, -(-size // file_bytes))
     plain = [f.name for f in df.schema.fields

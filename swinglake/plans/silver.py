@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from swinglake.functions import (
     parse_doubles, rebase_ms, round_frame_ms, split_list, strip_braces, to_double,
@@ -16,8 +17,8 @@ from swinglake.joints import (
 )
 from swinglake.operators.joins import align_frames, enrich, match_key_frames
 from swinglake.operators.shaping import clean, pack_maps, rename_at
-from swinglake.operators.tables import append_merge
-from swinglake.streaming.sinks import drain_to_batch, write_stream
+from swinglake.operators.tables import read_merged
+from swinglake.streaming.sinks import BATCH, read_batches, write_stream, write_stream_batches
 
 PARAMETERS = ("GamePK", "ID", "PlayID", "Weight")
 STREAM_SALTS = 8
@@ -137,10 +138,32 @@ def master(motion: DataFrame, frames: DataFrame, params: DataFrame,
 
 def master_batch(motion: DataFrame, frames: DataFrame, params: DataFrame, table: str,
                  staging: str, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
-    """Drain both streams into tables, join them as batches, append to ``table``."""
-    motion_rows = drain_to_batch(motion, f"{staging}/motion", f"{staging}/motion_checkpoint")
-    frame_rows = drain_to_batch(frames, f"{staging}/frames", f"{staging}/frames_checkpoint")
-    return append_merge(master(motion_rows, frame_rows, params, joints), table)
+    """Drain both streams into tables, join what is new as batches, append to ``table``.
+
+    A run joins its new motion rows with all tracker rows and the older motion rows
+    with its new tracker rows, so each pair is written once, whichever side came later.
+    The rows go to a folder named after the batches they reach to: a run that failed is
+    made up for by the next one, and a run with nothing new writes nothing.
+    """
+    spark = motion.sparkSession
+    sides, upto = [], []
+    for stream, name in ((motion, "motion"), (frames, "frames")):
+        at = f"{staging}/{name}"
+        write_stream_batches(stream, lambda batch, batch_id: batch, at, f"{at}_checkpoint")
+        rows = read_batches(spark, at, StructType([*stream.schema.fields]), keep=BATCH)
+        sides.append(rows)
+        upto.append(rows.agg(F.coalesce(F.max(BATCH), F.lit(-1)).cast("int")).first()[0])
+    done = read_batches(spark, table, StructType().add("motion_upto", "integer").add("frames_upto", "integer"))
+    before = done.agg(*[F.coalesce(F.max(c), F.lit(-1)).cast("int") for c in ("motion_upto", "frames_upto")]).first()
+    if tuple(before) != tuple(upto):
+        new_motion, old_motion = (sides[0].where(c).drop(BATCH) for c in (
+            F.col(BATCH) > before[0], F.col(BATCH) <= before[0]))
+        new_frames = sides[1].where(F.col(BATCH) > before[1]).drop(BATCH)
+        rows = master(new_motion, sides[1].drop(BATCH), params, joints)
+        if before[0] >= 0:
+            rows = rows.unionByName(master(old_motion, new_frames, params, joints))
+        rows.write.mode("overwrite").parquet(f"{table}/motion_upto={upto[0]}/frames_upto={upto[1]}")
+    return read_merged(spark, table).drop("motion_upto", "frames_upto")
 
 
 # --- published streams -----------------------------------------------------
@@ -148,4 +171,4 @@ def master_batch(motion: DataFrame, frames: DataFrame, params: DataFrame, table:
 def publish(spark: SparkSession, stream: DataFrame, table: str, checkpoint: str) -> DataFrame:
     """Append a silver stream to its table and read the table back."""
     write_stream(stream, table, checkpoint)
-    return spark.read.schema(stream.schema).parquet(table)
+    return spark.read.schema(stream.schema).parquet(table) if "/" in table else spark.read.table(table)

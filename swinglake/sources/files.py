@@ -41,8 +41,9 @@ def stream_table(spark: SparkSession, name: str, schema: StructType | None = Non
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = " ",
                    schema: StructType | str | None = None) -> DataFrame:
-    """Delimited files with a header; all columns are text unless typed."""
-    reader = spark.read.option("header", True).option("delimiter", delimiter)
+    """Delimited files with a header; all columns are text unless typed.  A file whose
+    header is not the schema's is an error, not columns by position."""
+    reader = spark.read.option("header", True).option("delimiter", delimiter).option("enforceSchema", False)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 
@@ -54,9 +56,18 @@ def write_stream_batches(df: DataFrame, fn: Callable[[DataFrame, int], DataFrame
     return for_each_batch(df, append, checkpoint)
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The table :func:`write_stream_batches` wrote; columns of all batches."""
-    return spark.read.option("mergeSchema", True).parquet(path).drop(BATCH)
+def read_batches(spark: SparkSession, path: str, empty: StructType | None = None,
+                 keep: str | None = None) -> DataFrame:
+    """The table :func:`write_stream_batches` wrote; columns of all batches, ``keep`` being
+    :data:`BATCH` to have their numbers too.  While there is no batch the table is empty
+    and has the columns ``empty``, where these are given."""
+    try:
+        rows = spark.read.option("mergeSchema", True).parquet(path)
+        return rows if keep else rows.drop(BATCH)
+    except AnalysisException as missing:
+        if empty is None or missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], StructType([*empty.fields]).add(keep, "integer") if keep else empty)
 
 
 def drain_to_batch(stream: DataFrame, staging: str, checkpoint: str) -> DataFrame:
