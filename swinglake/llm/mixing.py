@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from swinglake.llm.common import staged, unit_hash
 
 MAX_RATE = 500.0      # beyond it exp(-rate) leaves the range of doubles
-ADDED = ("rate", "copies", "copy", "shuffle_key")
+ADDED = ("rate", "copies", "copy", "shuffle_key", "mix_source", "cdf")
 
 
 def source_bytes(docs: DataFrame, source: str = "source") -> DataFrame:
