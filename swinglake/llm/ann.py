@@ -31,8 +31,8 @@ BLOCK = 1_024         # queries in a block
 ROUNDS = 12
 
 
-def usable(rows: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """``vec_id, v``: rows with an id and a finite, non-zero vector, of the commonest length.
+def usable(rows: DataFrame, length: int | None = None, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
+    """``vec_id, v``: rows with an id and a finite, non-zero vector of ``length``, or of the commonest length.
 
     Null vectors, zero vectors and those with null or non-finite components take no part.
     """
@@ -40,6 +40,8 @@ def usable(rows: DataFrame, vector: str = "embedding", key: str = "vec_id") -> D
     finite = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     kept = (rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("vec_id"), v.alias("v"))
             .where(F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)))
+    if length is not None:
+        return kept.where(F.size("v") == length)
     lengths = kept.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
     return kept.where(F.size("v") == (lengths[0]["n"] if lengths else 0))
 
@@ -184,7 +186,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, share: float = SHAR
                 out += [(query, v, block, part, cells) for part, cells in by_part.items()]
             yield pd.DataFrame(out, columns=["vec_id", "v", "block", "part", "cells"])
 
-    asked = usable(queries).dropDuplicates(["vec_id"])
+    asked = usable(queries, index.half + index.second.shape[1]).dropDuplicates(["vec_id"])
     blocks = max(1, -(-asked.count() // BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     routed = asked.mapInPandas(route, "vec_id long, v array<double>, block int, part int, cells array<int>")

@@ -66,7 +66,7 @@ def replies(cut: DataFrame) -> DataFrame:
              .groupBy("conv_id", "unit").agg(F.min("said_at").alias("said_at")))
     quoted = (cut.where("conv_id IS NOT NULL AND turn IS NOT NULL")
               .select("conv_id", "turn", F.explode(F.expr("filter(_passages, p -> p.level > 0)")).alias("p"))
-              .select("conv_id", "turn", "p.level", F.explode(F.expr(_units("p.lines"))).alias("unit")))
+              .select("conv_id", "turn", "p.level", F.explode(F.expr(_units("p.lines"))).alias("unit")).distinct())
     found = quoted.join(first, ["conv_id", "unit"]).where("said_at < turn")
     votes = found.groupBy("conv_id", "turn", "level", "said_at").agg(F.count("*").alias("n"))
     best = F.max(F.struct((-F.col("level")).alias("near"), "n", "said_at"))
