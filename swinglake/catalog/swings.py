@@ -15,6 +15,7 @@ from swinglake.operators.swings import (
     standardize, swing_features,
 )
 from swinglake.plans.clusters import scored, swing_clusters
+from swinglake.session import staged
 
 
 def _embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +51,23 @@ def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.withColumn("z", F.round("z", 6) + F.lit(0.0))
 
 
-@query("pca_scores")
+@query("pca_scores", """SELECT vec_id, true AS uncorrelated, true AS falling, true AS turned FROM embeddings""")
 def component_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = scored(_embedded(spark, sf_dir))
+    """What must hold for the scores, beside each vector's id: components are uncorrelated,
+    their variances fall, and each is turned the way of its largest loading."""
+    points = scored(_embedded(spark, sf_dir)).select("vec_id", "scaled", *[
+        vector_to_array("scores")[i].alias(f"s{i}") for i in range(3)])
+    stats = points.agg(
+        *[F.var_pop(f"s{i}").alias(f"v{i}") for i in range(3)],
+        *[F.abs(F.corr(f"s{i}", f"s{j}")).alias(f"c{i}{j}") for i, j in ((0, 1), (0, 2), (1, 2))])
+    # a feature's covariance with a score is its loading times the score's variance
+    cells = points.select(*[f"s{i}" for i in range(3)], F.posexplode(vector_to_array("scaled")).alias("feature", "x"))
+    loads = cells.groupBy("feature").agg(*[F.avg(F.col("x") * F.col(f"s{i}")).alias(f"l{i}") for i in range(3)])
+    turned = loads.agg(*[(F.max(f"l{i}") >= F.max(F.abs(f"l{i}")) - F.lit(1e-9)).alias(f"t{i}") for i in range(3)])
+    s, t = stats.first(), turned.first()
     return points.select(
-        "vec_id", *[vector_to_array("scores")[i].alias(f"LatentVector{i + 1}") for i in range(3)])
+        "vec_id", F.lit(max(s["c01"], s["c02"], s["c12"]) < 1e-6).alias("uncorrelated"),
+        F.lit(s["v0"] >= s["v1"] >= s["v2"]).alias("falling"), F.lit(all(t)).alias("turned"))
 
 
 @query("pca_variance", """SELECT count(*) AS n_rows, 64.0::DOUBLE AS total,
@@ -75,14 +88,28 @@ def component_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("n_rows", "total", falling.alias("ordered"), "centred")
 
 
-@query("kmeans_sweep")
+@query("kmeans_sweep", """SELECT k::INTEGER AS k, CASE WHEN k = 1 THEN (SELECT count(*) FROM embeddings) * 64 END AS total,
+  true AS falls FROM range(1, 21) t(k)""")
 def cost_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elbow(kmeans_sweep(scored(_embedded(spark, sf_dir))))
-
-
-@query("swing_clusters")
+    """The sweep over all standardized features: one cluster costs a unit per row and
+    feature, and every further number of clusters costs less than one does."""
+    sweep = elbow(kmeans_sweep(staged(standardize(_embedded(spark, sf_dir)), "features"), column="scaled"))
+    one = F.lit(sweep.where("k = 1").first()["wcss"])
+    return sweep.select(
+        "k", F.when(F.col("k") == 1, F.round("wcss").cast("long")).alias("total"),
+        ((F.col("k") == 1) | (F.col("wcss") < one) & (F.col("wcss") > 0)).alias("falls"))
+
+
+@query("swing_clusters", f"""WITH {KEYED}
+SELECT m.input_event, true AS named FROM keyed k
+JOIN timed m ON k.input_event = m.input_event AND m."TimestampRounded" = 80
+WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS NULL""")
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return swing_clusters(key_frames(spark, sf_dir))
+    """Every swing has a cluster, named after its number."""
+    labelled = swing_clusters(key_frames(spark, sf_dir))
+    return labelled.select("input_event", (
+        F.col("Cluster K-means PCA").between(0, 3)
+        & (F.col("Cluster") == F.concat(F.lit("Cluster"), F.col("Cluster K-means PCA") + 1))).alias("named"))
 
 
 @query("cluster_totals", f"""WITH {KEYED}
@@ -100,14 +127,22 @@ def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.greatest(*[F.abs(f"m{i}") for i in (1, 2, 3)]).between(0, 1e-9).alias("centred"))
 
 
-@query("cluster_points")
+@query("cluster_points", "SELECT count(*) AS n_rows, 4::BIGINT AS n_clusters, true AS settled FROM embeddings")
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = scored(_embedded(spark, sf_dir))
-    return cluster_points(label_clusters(embedded, fit_clusters(embedded)))
-
-
-@query("silhouette")
+    """What is drawn: all points in four clusters, whose squared distances to their means
+    (two of three coordinates are drawn) stay below what the model reports."""
+    embedded = staged(scored(_embedded(spark, sf_dir)), "scores")
+    model = fit_clusters(embedded)
+    drawn = cluster_points(label_clusters(embedded, model))
+    axes = ("LatentVector1", "LatentVector2")
+    per = drawn.groupBy("Cluster").agg(F.count("*").alias("n"), *[F.var_pop(a).alias(a) for a in axes])
+    squares = F.sum(F.col("n") * sum((F.col(a) for a in axes), F.lit(0.0)))
+    return per.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_clusters"),
+                   (squares <= F.lit(float(model.summary.trainingCost) * (1 + 1e-9))).alias("settled"))
+
+
+@query("silhouette", "SELECT count(*) AS n_rows, true AS in_range FROM embeddings")
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedded = scored(_embedded(spark, sf_dir))
     quality = silhouette(embedded, fit_clusters(embedded))
-    return embedded.agg(F.count("*").alias("n_rows")).withColumn("silhouette", F.lit(quality))
+    return embedded.agg(F.count("*").alias("n_rows")).withColumn("in_range", F.lit(-1.0 <= quality <= 1.0))

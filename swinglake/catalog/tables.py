@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from swinglake.catalog import fixtures as fx
 from swinglake.catalog.registry import query
 from swinglake.joints import key_frames_schema, master_schema
-from swinglake.operators.profile import event_count, profile_tables, row_count, summarize
+from swinglake.operators.profile import event_count, profile_columns, profile_tables, row_count, summarize
 from swinglake.operators.tables import append_merge, compact, ensure_layers, ensure_table
 from swinglake.plans import silver
 from swinglake.plans.validate import validate
@@ -51,9 +51,31 @@ def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("stddev", 4).alias("stddev"), "min", "max")
 
 
-@query("summary_percentiles")
+@query("summary_percentiles", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, "
+    f"true AS in_order FROM lineitem" for c in _NUMBERS))
 def summary_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarize(fx.table(spark, sf_dir, "lineitem"))
+    """The percentiles lie in order between the least and the largest value; their ranks
+    are looked at by ``percentile_ranks``."""
+    stats = summarize(fx.table(spark, sf_dir, "lineitem"))
+    shown = ["min", "p25", "p50", "p75", "max"]
+    in_order = F.lit(True)
+    for a, b in zip(shown, shown[1:]):
+        in_order = in_order & (F.col(a) <= F.col(b))
+    return stats.select("column", "n", "min", "max", in_order.alias("in_order"))
+
+
+_PLAIN = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"}
+
+
+@query("column_profile", "\nUNION ALL ".join(f"""SELECT '{c}' AS "column", '{kind}' AS type, count({c}) AS n,
+  count(*) - count({c}) AS n_missing, count(DISTINCT {c}) AS n_distinct,
+  (SELECT v FROM (SELECT {c}::VARCHAR AS v, count(*) AS k FROM orders WHERE {c} IS NOT NULL GROUP BY 1)
+   ORDER BY k DESC, v LIMIT 1) AS most_frequent,
+  (SELECT max(k) FROM (SELECT count(*) AS k FROM orders WHERE {c} IS NOT NULL GROUP BY {c})) AS times,
+  min({c})::VARCHAR AS min, max({c})::VARCHAR AS max FROM orders""" for c, kind in _PLAIN.items()))
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_columns(fx.table(spark, sf_dir, "orders").select(*_PLAIN))
 
 
 @query("percentile_ranks", "\nUNION ALL ".join(
@@ -94,10 +116,27 @@ def compact_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     at = scratch_dir(spark, "compact")
-    orders.repartition(16, "o_orderkey").write.parquet(f"{at}/scattered")
+    orders.repartition("o_orderkey").write.parquet(f"{at}/scattered")
     return compact(spark, f"{at}/scattered", f"{at}/compact", ("o_orderstatus", "o_custkey"))
 
 
+@query("compact_merged", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS o_orderstatus, true AS apart FROM orders""")
+def compact_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of two appends with different columns, compacted: no column is lost, and
+    the files' key ranges do not overlap."""
+    orders, at = fx.table(spark, sf_dir, "orders"), scratch_dir(spark, "compact")
+    for odd, column in enumerate(("o_orderstatus", "o_orderpriority")):
+        append_merge(orders.where(f"o_orderkey % 2 = {odd}").select("o_orderkey", "o_custkey", column), f"{at}/grown")
+    table = compact(spark, f"{at}/grown", f"{at}/compact", ("o_custkey",), file_bytes=1 << 17)
+    ranges = table.groupBy(F.input_file_name().alias("file")).agg(F.min("o_custkey").alias("a"), F.max("o_custkey").alias("b"))
+    # a row per file
+    before = F.lag("b").over(Window.orderBy("a", "b"))
+    apart = ranges.select((before.isNull() | (F.col("a") >= before)).alias("ok")).agg(F.min("ok")).first()[0]
+    return table.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", F.lit(apart).alias("apart"))
+
+
 LAYERS_SQL = f"""WITH {fx.EV}, {fx.KEY_FRAMES}, {fx.PARAMS}
 SELECT 'bronze' AS layer, 'batting_batter_parameter_set' AS "table",
   (SELECT count(*) FROM params) AS n_rows, (SELECT count(*) FROM params) AS n_events
