@@ -9,8 +9,9 @@ all linked already, and compares whole shingle sets at the leaves.
 
 Groups are formed twice.  First by two min-hashes, which link most copies cheaply: a
 large group is cut into pieces, and the other min-hash ties the pieces together.  Then
-by every rare shingle that texts of different components still share; large groups are
-cut into pieces that meet in pairs.  The second round makes the result exact.
+by families: texts tied together by rare shingles that different components still
+share; large families are cut into pieces that meet in pairs.  The second round makes
+the result exact.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ _SEEDS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7))
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode())
         return value
@@ -277,18 +278,18 @@ def text_components(docs: DataFrame) -> DataFrame:
                    "links")
     label = components(first)
 
-    shared = (candidates.select("key", F.explode("shared").alias("_shingle"))
-              .join(label, F.col("key") == F.col("node"), "left")
-              .select("key", "_shingle", F.coalesce("component", "key").alias("label")))
-    shared = staged(shared, "shared")
+    shared = staged(candidates.select("key", F.explode("shared").alias("_shingle"))
+                    .join(label, F.col("key") == F.col("node"), "left")
+                    .select("key", "_shingle", F.coalesce("component", "key").alias("label")), "shared")
     mixed = (shared.groupBy("_shingle")
-             .agg(F.count("*").alias("members"), F.min("label").alias("_from"), F.max("label").alias("_to"),
-                  F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("_xor"))
-             .where("_from <> _to")
-             # shingles with the same texts are one group
-             .groupBy("members", "_sum", "_xor").agg(F.min("_shingle").alias("_shingle"))
-             .select("_shingle", "members"))
-    second = staged(_by_group(shared.join(mixed, "_shingle"), ["_shingle"], sets, True), "links")
+             .agg(F.min("label").alias("_from"), F.max("label").alias("_to"), F.min("key").alias("v"))
+             .where("_from <> _to").select("_shingle", "v"))
+    # texts that such shingles tie together meet once, not once for each shingle
+    family = components(shared.join(mixed, "_shingle").select(F.col("key").alias("u"), "v"))
+    sizes = family.groupBy("component").agg(F.count("*").alias("members"))
+    rows = (family.join(sizes, "component").join(shared.select(F.col("key").alias("node"), "label").distinct(), "node")
+            .select(F.col("component").alias("_family"), F.col("node").alias("key"), "label", "members"))
+    second = staged(_by_group(rows, ["_family"], sets, True), "links")
     final = components(first.union(second))
     return sized.select("key", "n").join(final, F.col("key") == F.col("node"), "left").select(
         "key", "n", F.coalesce("component", "key").alias("component"))
