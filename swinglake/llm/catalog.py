@@ -64,7 +64,24 @@ def benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op6_signature_trees")
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reached AS (SELECT doc_id, doc_id AS other FROM words UNION
+  SELECT reached.doc_id, links.v FROM reached JOIN links ON links.u = reached.other)
+SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM words
+LEFT JOIN sizes ON sizes.doc_id = words.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON r.doc_id = words.doc_id"""
+
+
+@query("op6_signature_trees", JACCARD_SQL)
 def signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
