@@ -56,13 +56,13 @@ def _edges(buckets: int) -> np.ndarray:
 
 
 def totals(blocks: DataFrame, keys: Keys, at: Layout,
-           tally: Callable[[np.ndarray, np.ndarray], int] | None = None) -> DataFrame:
+           tally: Callable[[np.ndarray, np.ndarray], list[int]] | None = None) -> DataFrame:
     """``block, bucket, totals`` for a table with a column ``block``.
 
     ``keys`` turns the rows of a block into distinct keys (sorted uint64) and their counts
     there (uint32); it is run once more where the totals are used, see ``answers``.
-    ``tally`` makes a number of a bucket's distinct keys and totals; it comes as a row of
-    block -1, see ``tallied``.
+    ``tally`` makes some numbers of a bucket's distinct keys and totals; they come as rows
+    of blocks -1, -2, ..., see ``tallied``.
     """
     edges = _edges(at.buckets)
 
@@ -87,7 +87,8 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
         out = pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
                             "totals": [_planes(a) for a in np.split(answer, ends[:-1])]})
         if tally is not None:
-            out.loc[len(out)] = (-1, frame["bucket"].iat[0], int(tally(distinct, total)).to_bytes(8))
+            for i, number in enumerate(tally(distinct, total)):
+                out.loc[len(out)] = (-1 - i, frame["bucket"].iat[0], int(number).to_bytes(8))
         return out
 
     asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, block int, keys binary, counts binary")
@@ -100,7 +101,9 @@ def answers(frame: pd.DataFrame) -> np.ndarray:
     return np.concatenate([np.empty(0, "<u4"), *(_values(p, "<u4") for p in parts)]).astype(np.int64)
 
 
-def tallied(counted: DataFrame) -> int:
-    """Sum of the buckets' tallies: one number per bucket is read, added up where it lies."""
+def tallied(counted: DataFrame, numbers: int) -> list[int]:
+    """Sums of the buckets' tallies; they are added up where they lie."""
     value = F.conv(F.hex("totals"), 16, 10).cast("long")
-    return counted.where("block = -1").agg(F.coalesce(F.sum(value), F.lit(0))).first()[0]
+    rows = counted.where("block < 0").groupBy("block").agg(F.sum(value).alias("n")).collect()
+    found = {-1 - r["block"]: r["n"] for r in rows}
+    return [found.get(i, 0) for i in range(numbers)]

@@ -3,12 +3,12 @@
 States are the word sequences of the training texts shorter than the model's order; an
 arc reads a word that followed its state in training, a failure arc leads to the
 state's longest suffix.  A text is read once, left to right, carrying the state and
-adding the arcs' log-probabilities.
+adding the arcs' log-probabilities; the texts of a block are read side by side.
 
 Every order is interpolated with the next lower one:
-``P(w|h) = (1 - b) c(hw) / c(h) + b P(w|h')``, in which ``b`` belongs to the size class of
-``c(h)`` and is the share of training words after such histories that followed theirs
-just once (what would be unseen if left out).  Words alone have add-one estimates.
+``P(w|h) = (1 - b) c(hw) / c(h) + b P(w|h')``.  ``b`` starts from the share of the training
+sequences of that order that occur once (what would be unseen if left out) and rises
+for rare histories: ``b(h) = b + 0.8 (1 - b) / c(h)^2``.  Words alone have add-one estimates.
 
 The counts are those of the whole corpus.  No task holds them all: a block of texts gets
 the exact counts of its own sequences (``counts``), which is every arc it can follow.
@@ -16,8 +16,6 @@ the exact counts of its own sequences (``counts``), which is every arc it can fo
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -29,15 +27,15 @@ from swinglake.llm.counts import answers, block_of, layout, tallied, totals
 
 ORDER = 2
 BLOCK_BYTES = 4 << 20
-CLASSES = 48          # of history counts, by powers of two
+RARE = 0.8            # of what is left to a history seen once, the share that goes to lower orders
 _END = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_ONE = np.uint64(1)
+_ORDER_BITS = np.uint64(3)
 
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode())
         return value
@@ -55,7 +53,7 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
 class Block:
     """The texts of a block as keys: of each position the sequences of 1..order words that end there.
 
-    A key's lowest bit says whether it is a single word.  ``whole[m]`` marks positions with
+    A key's two lowest bits are its order less one.  ``whole[m]`` marks positions with
     ``m`` words of their text before and at them; other positions have no key of that order.
     """
 
@@ -77,15 +75,17 @@ class Block:
             back = np.roll(mixed, 1)          # sequence of m - 1 words that ends one before
             mixed = hashed.copy() if m == 1 else back * _MIX + hashed + np.uint64(m)
             self.whole.append(within >= m - 1)
-            key = _scrambled(mixed)
-            self.keys.append(key | _ONE if m == 1 else key & ~_ONE)
+            self.keys.append((_scrambled(mixed) & ~_ORDER_BITS) | np.uint64(m - 1))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys, sorted, and how often each occurs in training texts."""
-        every = np.concatenate([k[w] for k, w in zip(self.keys, self.whole)])
-        weight = np.concatenate([self.trains[w] for w in self.whole])
-        keys, place = np.unique(every, return_inverse=True)
-        return keys, np.bincount(place, weights=weight, minlength=len(keys))
+        train, other = (np.concatenate([k[w & use] for k, w in zip(self.keys, self.whole)])
+                        for use in (self.trains, ~self.trains))
+        seen, times = np.unique(train, return_counts=True)
+        keys = np.union1d(seen, other)
+        counts = np.zeros(len(keys), dtype=np.int64)
+        counts[np.searchsorted(keys, seen)] = times
+        return keys, counts
 
     def count(self, counted: pd.DataFrame) -> None:
         """Per order: number of each position's sequence, -1 where there is none, and corpus counts."""
@@ -103,77 +103,77 @@ class Block:
         return np.where(self.number[m] >= 0, before, 0)
 
 
-def size_class(count: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), CLASSES - 1)
-
-
-def class_sums(block: Block, order: int) -> pd.DataFrame:
-    """``level, size, words, once``: training words by size class of their history, and those that followed it once."""
-    rows = []
-    for m in range(1, order):
-        history, count = block.history(m), block.counts(m + 1)
-        use = block.trains & (block.number[m] >= 0) & (history > 0)
-        size = size_class(history[use])
-        words = np.bincount(size, minlength=CLASSES)
-        once = np.bincount(size, weights=count[use] == 1, minlength=CLASSES)
-        rows += [(m, k, int(words[k]), int(once[k])) for k in np.flatnonzero(words)]
-    return pd.DataFrame(rows, columns=["level", "size", "words", "once"])
-
-
 class Automaton:
     """States, arcs and failure arcs for the sequences of a block.
 
-    State 0 has read nothing it knows.  ``arc[state * words + word]`` is the number of an arc,
-    ``weight`` and ``target`` are by arc, ``fail_weight`` and ``fail_target`` by state.
+    State 0 has read nothing it knows.  Its arcs come first, one for each word of the
+    block; other arcs follow in order of their ``code``, state and word in one number.
     """
 
-    def __init__(self, block: Block, order: int, backoff: np.ndarray, known: int, distinct: int):
+    def __init__(self, block: Block, order: int, backoff: list[float], known: int, distinct: int):
         word_keys, self.word = np.unique(block.number[0], return_inverse=True)
         self.words = len(word_keys)
         total = block.total
-        probability = (total[word_keys] + 1.0) / (known + distinct + 1.0)
-        # a state for each sequence below the full order that training has; the end leads nowhere
+        self.count = total[word_keys]
+        probability = (self.count + 1.0) / (known + distinct + 1.0)
+        # a state for each sequence below the full order that training has
         state_of = np.zeros(len(total), dtype=np.int64)
-        states = [np.unique(block.number[m - 1][(block.counts(m) > 0)]) for m in range(1, order)]
-        for i, s in enumerate(states):
-            state_of[s] = 1 + sum(map(len, states[:i])) + np.arange(len(s))
-        n = 1 + sum(map(len, states))
-        self.fail_weight, self.fail_target = [0.0] * n, [0] * n
-        self.weight, self.target = list(np.log10(probability)), list(state_of[word_keys])
-        self.arc = dict(enumerate(range(self.words)))
+        n = 1
+        for m in range(1, order):
+            ids = np.unique(block.number[m - 1][block.counts(m) > 0])
+            state_of[ids] = n + np.arange(len(ids))
+            n += len(ids)
+        self.fail_weight, self.fail_target = np.zeros(n), np.zeros(n, dtype=np.int64)
+        codes, weights, targets = [], [np.log10(probability)], [state_of[word_keys]]
         lower = probability[self.word]                 # of each position, given m - 1 words
         for m in range(1, order):
             history, count = block.history(m), block.counts(m + 1)
-            b = backoff[m, size_class(history)]
+            b = backoff[m] + RARE * (1 - backoff[m]) / np.maximum(history, 1).astype(float) ** 2
             seen, context = history > 0, np.roll(block.number[m - 1], 1)
             p = np.where(seen, (1 - b) * count / np.maximum(history, 1) + b * lower, lower)
-            for i in _firsts(context, seen & (block.number[m] >= 0)):
-                s = state_of[context[i]]
-                self.fail_weight[s] = math.log10(b[i])
-                self.fail_target[s] = int(state_of[block.number[m - 2][i - 1]]) if m > 1 else 0
-            at = _firsts(block.number[m], (count > 0) & (block.number[m] >= 0))
-            start = len(self.weight)
-            codes = state_of[context[at]] * self.words + self.word[at]
-            self.arc.update(zip(codes.tolist(), range(start, start + len(at))))
-            self.weight += np.log10(p[at]).tolist()
-            suffix = block.number[m - 1][at] if m + 1 == order else block.number[m][at]
-            self.target += state_of[suffix].tolist()
+            at = _firsts(context, seen)
+            states = state_of[context[at]]
+            self.fail_weight[states] = np.log10(b[at])
+            if m > 1:
+                self.fail_target[states] = state_of[np.roll(block.number[m - 2], 1)[at]]
+            at = _firsts(block.number[m], count > 0)
+            codes.append(state_of[context[at]] * self.words + self.word[at])
+            weights.append(np.log10(p[at]))
+            targets.append(state_of[block.number[m - 1 if m + 1 == order else m][at]])
             lower = p
-        self.total = total[word_keys]
-
-    def read(self, words: list[int]) -> float:
-        """The log10 probability of a text: one pass that carries the state."""
-        arc, weight, target, width = self.arc, self.weight, self.target, self.words
-        state, score = 0, 0.0
-        for w in words:
-            a = arc.get(state * width + w)
-            while a is None:
-                score += self.fail_weight[state]
-                state = self.fail_target[state]
-                a = arc.get(state * width + w)
-            score += weight[a]
-            state = target[a]
-        return score
+        code = np.concatenate([np.empty(0, np.int64), *codes])
+        by_code = np.argsort(code)
+        self.code = np.append(code[by_code], np.iinfo(np.int64).max)
+        rest = self.words + by_code
+        weight, target = np.concatenate(weights), np.concatenate(targets)
+        self.weight = np.concatenate([weight[:self.words], weight[rest]])
+        self.target = np.concatenate([target[:self.words], target[rest]])
+
+    def read(self, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Log10 probabilities of texts, read side by side: each carries its state from word to word."""
+        longest_first = np.argsort(-lengths, kind="stable")
+        start = first[longest_first]
+        reading = np.searchsorted(-lengths[longest_first], -np.arange(int(lengths.max(initial=0))), side="left")
+        state, score = np.zeros(len(start), dtype=np.int64), np.zeros(len(start))
+        for step, active in enumerate(reading):
+            word = self.word[start[:active] + step]
+            at = state[:active].copy()
+            arc = word.copy()                          # those of state 0
+            todo = np.flatnonzero(at)
+            while len(todo):
+                code = at[todo] * self.words + word[todo]
+                place = np.searchsorted(self.code, code)
+                hit = self.code[place] == code
+                arc[todo[hit]] = self.words + place[hit]
+                todo = todo[~hit]
+                score[todo] += self.fail_weight[at[todo]]
+                at[todo] = self.fail_target[at[todo]]
+                todo = todo[at[todo] > 0]
+            score[:active] += self.weight[arc]
+            state[:active] = self.target[arc]
+        out = np.empty(len(start))
+        out[longest_first] = score
+        return out
 
 
 def _firsts(numbers: np.ndarray, use: np.ndarray) -> np.ndarray:
@@ -198,41 +198,32 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     texts = (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), normal.alias("normal"))
              .withColumn("block", block_of(F.xxhash64("doc_id", F.length("normal"), F.substring("normal", 1, 64)), at))
              .repartition(at.blocks, "block"))
-    counted = staged(totals(texts, lambda frame: Block(frame, order).distinct(), at,
-                            lambda keys, total: int(((keys & _ONE) == 1)[total > 0].sum())), "ngram-counts")
-    distinct = tallied(counted)
+    def tally(keys: np.ndarray, total: np.ndarray) -> list[int]:
+        """Distinct words, and per order the training sequences and those that occur once."""
+        level, sums = keys & _ORDER_BITS, [int(((keys & _ORDER_BITS == 0) & (total > 0)).sum())]
+        for m in range(order):
+            own = total[level == m]
+            sums += [int(own.sum()), int((own == 1).sum())]
+        return sums
+
+    counted = staged(totals(texts, lambda frame: Block(frame, order).distinct(), at, tally), "ngram-counts")
+    distinct, *sums = tallied(counted, 1 + 2 * order)
+    known = sums[0]
+    backoff = [min(max(once / max(every, 1), 0.01), 0.99) for every, once in zip(sums[::2], sums[1::2])]
     by_block = counted.where("block >= 0")
-
-    def sums(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        block = Block(frame, order)
-        block.count(answer)
-        return pd.concat([class_sums(block, order),
-                          pd.DataFrame([(0, 0, int(block.trains.sum()), 0)], columns=["level", "size", "words", "once"])])
-
-    classes = (texts.groupBy("block").cogroup(by_block.groupBy("block"))
-               .applyInPandas(sums, "level int, size int, words long, once long"))
-    # CLASSES rows per order at most
-    rows = staged(classes.groupBy("level", "size").agg(F.sum("words").alias("words"), F.sum("once").alias("once")),
-                  "backoff").collect()
-    known = sum(r["words"] for r in rows if r["level"] == 0)
-    backoff = np.full((order, CLASSES), 0.5)
-    for r in rows:
-        backoff[r["level"], r["size"]] = min(max(r["once"] / max(r["words"], 1), 0.01), 0.99)
-
     kind = dict(docs.dtypes)["doc_id"]
 
     def score(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         block = Block(frame, order)
         block.count(answer)
         automaton = Automaton(block, order, backoff, known, distinct)
-        word, ends = automaton.word, block.first + block.lengths
-        count = automaton.total[word]
+        count = automaton.count[automaton.word]
         base = np.log10((count + 1.0) / (known + distinct + 1.0))
         return pd.DataFrame({
             "doc_id": frame["doc_id"], "held_out": frame["held_out"], "n_tokens": block.lengths,
             "n_known": np.add.reduceat(count > 0, block.first, dtype=np.int64), "train_tokens": known,
             "base_score": np.add.reduceat(base, block.first),
-            "score": [automaton.read(word[a:b].tolist()) for a, b in zip(block.first, ends)]})
+            "score": automaton.read(block.first, block.lengths)})
 
     return texts.groupBy("block").cogroup(by_block.groupBy("block")).applyInPandas(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
