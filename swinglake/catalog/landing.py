@@ -224,7 +224,7 @@ def batch_callback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A callback per micro-batch that keeps partial sums, added up at the end."""
     at = scratch_dir(spark, "batch-callback")
     events = fx.table(spark, sf_dir, "events").select("user_id", "value")
-    events.repartition(4, "user_id", "value").write.parquet(f"{at}/landing")
+    events.repartition("user_id", "value").write.parquet(f"{at}/landing")
     stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
               .parquet(f"{at}/landing"))
 
