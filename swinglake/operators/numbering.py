@@ -62,8 +62,8 @@ def with_file_numbers(rows: DataFrame, file_row: str = "file_row", key: str = "i
     files = rows.groupBy(key, FILE).agg(F.max(file_row).cast("long").alias("_rows"))
     offsets = staged(file_offsets(files, key, index is not None).drop(key, "_rows"), "file-offsets")
     front = [(F.col("_all_before") + F.col(file_row) - 1).alias(index)] if index else []
-    return rows.join(offsets, FILE).select(
-        *front, *[c for c in rows.columns if c != file_row], (F.col("_key_before") + F.col(file_row)).alias(name))
+    number = (F.col("_key_before") + F.col(file_row)).alias(name)
+    return rows.join(offsets, FILE).select(*front, *[number if c == file_row else F.col(c) for c in rows.columns])
 
 
 def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "row_number",

@@ -49,11 +49,10 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "Hips_R11" not in plan
 
 
-def test_landing_files_are_read_once(spark):
-    df = QUERIES["rescue_csv"](spark, SF_DIR)
-    df.collect()
-    final = plan_of(df).split("Initial Plan")[0]
-    assert final.count("Scan text") == 1 and "ReusedExchange" in final
+@pytest.mark.parametrize("name", ["rescue_csv", "ingest_csv", "report_files"])
+def test_lines_are_neither_shuffled_nor_sorted(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "Sort [" not in plan
 
 
 def test_entry(spark):
