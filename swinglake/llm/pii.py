@@ -2,7 +2,7 @@
 
 Protected entities are the addresses, cards and phone numbers that patterns find.  A
 term of the texts that hold an entity gives it away by ``PMI(term; entity)`` bits, of the
-``IC(entity)`` bits there are; both are estimated from the whole corpus, over distinct texts.
+``IC(entity)`` bits there are; both are estimated from the whole corpus.
 A term that gives away too large a share is generalised in the texts with that entity,
 one that gives away nearly all is removed.
 """
@@ -47,6 +47,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}", "_text rlike '[0-9]'"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15", "instr(_text, '+') > 0"),
 )
+HOLDS = " OR ".join(f"size(_{k.name}) > 0" for k in KINDS)
 WORD = r"\p{L}{3,}+"
 
 
@@ -92,35 +93,37 @@ def _entities() -> Column:
 
 
 def _words(text: str) -> Column:
+    """Distinct words outside of addresses; other entities have no letters."""
+    email = KINDS[0]
+    text = f"CASE WHEN {email.needs} THEN regexp_replace({text}, {_literal(email.pattern)}, ' ') ELSE {text} END"
     return F.expr(f"array_distinct(transform(regexp_extract_all({text}, {_literal(WORD)}, 0), w -> lower(w)))")
 
 
 def revealing_terms(based: DataFrame) -> DataFrame:
     """``_text_key, term, remove``: terms that give away an entity of the text, over the thresholds.
 
-    ``based`` is ``with_base_spans`` of the corpus.  Entities seen in fewer than ``SUPPORT``
-    distinct texts have no co-occurrence to speak of; they and their terms fall out
-    before words are listed.  All joins are by key and small sides are read from files,
-    whose size decides whether Spark broadcasts them.
+    ``based`` is ``with_base_spans`` of the corpus.  Shares are of all rows, but entities, and
+    terms with them, seen in fewer than ``SUPPORT`` distinct texts have no co-occurrence to
+    speak of.  Only texts that hold an entity are shuffled.
     """
-    total = based.select("_text_key").distinct().count()
-    held = staged(based.where(" OR ".join(f"size(_{k.name}) > 0" for k in KINDS))
-                  .select("_text_key", F.explode(_entities()).alias("entity")).distinct(), "entities")
-    known = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    total = float(max(based.count(), 1))
+    rows = staged(based.where(HOLDS).groupBy("_text_key").agg(F.count("*").alias("rows"), F.first("_text").alias("_text"),
+                  *(F.first(f"_{k.name}").alias(f"_{k.name}") for k in KINDS)), "entity-texts")
+    held = rows.select("_text_key", "rows", F.explode(_entities()).alias("entity"))
+    known = held.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("rows").alias("n_entity")).where(
+        F.col("texts") >= SUPPORT)
     held = staged(held.join(known, "entity"), "entities")
-    texts = held.select("_text_key").distinct()
-    listed = staged(based.select("_text_key", "_text").join(texts, "_text_key")
-                    .groupBy("_text_key").agg(F.first("_text").alias("_text"))
+    listed = staged(rows.join(held.select("_text_key").distinct(), "_text_key")
                     .select("_text_key", F.explode(_words("_text")).alias("term")), "words")
     pairs = (listed.join(held, "_text_key").groupBy("entity", "term")
-             .agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
-             .where(F.col("n_both") >= SUPPORT))
+             .agg(F.count("*").alias("texts"), F.sum("rows").alias("n_both"), F.first("n_entity").alias("n_entity"))
+             .where(F.col("texts") >= SUPPORT))
     pairs = staged(pairs, "pairs")
-    terms = staged(pairs.select("term").distinct(), "terms")
-    seen = (based.select("_text_key", F.explode(_words("_text")).alias("term")).join(terms, "term")
-            .distinct().groupBy("term").agg(F.count("*").alias("n_term")))
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * F.lit(float(max(total, 1))) / (F.col("n_term") * F.col("n_entity")))
+    # every word of the corpus is counted before it meets the terms asked for
+    seen = (based.select(F.explode(_words("_text")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+            .join(pairs.select("term").distinct(), "term"))
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    mutual = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
     share = F.when(information > 0, mutual / information).otherwise(F.lit(0.0))
     over = (pairs.join(seen, "term").withColumn("share", share).where(F.col("share") >= GENERALISE)
             .select("entity", "term", (F.col("share") >= REMOVE).alias("remove")))
@@ -143,8 +146,14 @@ def sanitize(docs: DataFrame) -> DataFrame:
     by_text = staged(found.groupBy("_text_key").agg(
         F.collect_set("term").alias("_terms"), F.collect_set(F.when(F.col("remove"), F.col("term"))).alias("_removed")),
         "text-terms")
-    word = Kind("term", WORD, "array_contains(_terms, lower(x.m))", "_terms IS NOT NULL")
-    joined = based.join(by_text, "_text_key", "left").withColumn("_term", spans_of("_text", word))
+    inside = " OR ".join(f"""exists(_{k.name}, s -> s.start < a.at + length(x.p) + length(x.m)
+        AND s.end > a.at + length(x.p))""" for k in KINDS)
+    word = Kind("term", WORD, f"array_contains(_terms, lower(x.m)) AND NOT ({inside})", "_terms IS NOT NULL")
+    # a text without entities has no terms to look for and stays where it is
+    joined = (based.where(HOLDS).join(by_text, "_text_key", "left").withColumn("_term", spans_of("_text", word))
+              .unionByName(based.where(f"NOT ({HOLDS})").withColumns({
+                  "_terms": F.expr("cast(NULL AS array<string>)"), "_removed": F.expr("cast(NULL AS array<string>)"),
+                  "_term": F.expr(f"cast(array() AS {SPAN})")})))
     every = ", ".join(f"transform(_{k}, s -> named_struct('kind', '{k}', 'start', s.start, 'end', s.end))"
                       for k in [*(k.name for k in KINDS), "term"])
     spanned = joined.withColumn("pii_spans", F.expr(f"concat({every})"))
