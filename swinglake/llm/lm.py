@@ -89,7 +89,7 @@ class Block:
 
     def count(self, counted: pd.DataFrame) -> None:
         """Per order: number of each position's sequence, -1 where there is none, and corpus counts."""
-        keys, _ = self.distinct()
+        keys = np.unique(np.concatenate([k[w] for k, w in zip(self.keys, self.whole)]))
         total = answers(counted)
         self.number = [np.where(w, np.searchsorted(keys, k), -1) for k, w in zip(self.keys, self.whole)]
         self.total = total
@@ -111,16 +111,18 @@ class Automaton:
     """
 
     def __init__(self, block: Block, order: int, backoff: list[float], known: int, distinct: int):
-        word_keys, self.word = np.unique(block.number[0], return_inverse=True)
-        self.words = len(word_keys)
         total = block.total
+        used = _marked(block.number[0], len(total))
+        word_keys = np.flatnonzero(used)
+        self.word = (np.cumsum(used) - 1)[block.number[0]]
+        self.words = len(word_keys)
         self.count = total[word_keys]
         probability = (self.count + 1.0) / (known + distinct + 1.0)
         # a state for each sequence below the full order that training has
         state_of = np.zeros(len(total), dtype=np.int64)
         n = 1
         for m in range(1, order):
-            ids = np.unique(block.number[m - 1][block.counts(m) > 0])
+            ids = np.flatnonzero(_marked(block.number[m - 1][block.counts(m) > 0], len(total)))
             state_of[ids] = n + np.arange(len(ids))
             n += len(ids)
         self.fail_weight, self.fail_target = np.zeros(n), np.zeros(n, dtype=np.int64)
@@ -176,10 +178,18 @@ class Automaton:
         return out
 
 
+def _marked(numbers: np.ndarray, size: int) -> np.ndarray:
+    mark = np.zeros(size, dtype=bool)
+    mark[numbers] = True
+    return mark
+
+
 def _firsts(numbers: np.ndarray, use: np.ndarray) -> np.ndarray:
     """A position for each distinct number among those in use."""
     positions = np.flatnonzero(use)
-    return positions[np.unique(numbers[positions], return_index=True)[1]]
+    chosen = np.full(int(numbers.max(initial=-1)) + 1, -1)
+    chosen[numbers[positions]] = positions
+    return chosen[chosen >= 0]
 
 
 def held_out(doc_id: Column) -> Column:
