@@ -259,9 +259,9 @@ def _by_group(rows: DataFrame, group: list[str], sets: DataFrame, paired: bool)
 def text_components(docs: DataFrame) -> DataFrame:
     """``key, n, component`` for every distinct normalised text: set size, and least key linked with it.
 
-    ``docs`` has ``_key`` and ``_normal`` of ``normal_text``.
+    ``docs`` has ``text``, and ``_key`` and ``_normal`` of ``normal_text``.
     """
-    at = layout(docs.select(F.col("_normal").alias("text")))
+    at = layout(docs)
     texts = (docs.select(F.col("_key").alias("key"), F.col("_normal").alias("normal"))
              .mapInPandas(_first_of_task, "key string, normal string")
              .withColumn("block", block_of(F.xxhash64("key"), at)).repartition(at.blocks, "block"))
@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     named = normal_text(docs.select("doc_id", "text"))
     texts = staged(text_components(named), "texts")
-    members = named.select("doc_id", F.col("_key").alias("key"))
+    members = staged(named.select("doc_id", F.col("_key").alias("key")), "members")
     least = (members.groupBy("key").agg(F.min("doc_id").alias("_id")).join(texts, "key"))
     of = least.groupBy("component").agg(F.min("_id").alias("component_id"))
     by_text = staged(texts.join(of, "component").select("key", "n", "component_id"), "text-components")
