@@ -10,8 +10,11 @@ from swinglake.catalog import fixtures as fx
 from swinglake.catalog.registry import query
 from swinglake.functions import event_folder, parse_json, path_game
 from swinglake.operators.numbering import with_file_numbers
+from swinglake.operators.shaping import clean
+from swinglake.operators.tables import drop_layers
 from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
-from swinglake.session import scratch_dir
+from swinglake.plans.validate import validate
+from swinglake.session import scratch_dir, staged
 from swinglake.sources.delimited import (
     parse_lines, pinned_schema, read_csv_stream, read_report, rescue_csv, text_line_stream,
 )
@@ -78,6 +81,22 @@ def _third(spark: SparkSession, root: str) -> int:
     return -(-list_files(spark, root + "/all_games", "part-*").count() // 3)
 
 
+@query("named_lake", f"""SELECT 'bronze' AS layer, 'batting_motion' AS "table", count(*) AS n_rows,
+  count(DISTINCT event) AS n_events FROM ({CSV_SQL})
+UNION ALL SELECT 'silver', 'batting_motion', count(*), count(DISTINCT event)
+FROM ({CSV_SQL}) WHERE _rescued_data IS NULL""")
+def named_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files landed, cleaned and counted by the names of their tables."""
+    root, at = fx.land_csv(spark, sf_dir), scratch_dir(spark, "lake")
+    lake = Lake(at, root, namespaces=f"lake_{at[-8:]}_")
+    ingest_csv(spark, lake, "motion", "batting", ";", CSV_SCHEMA, max_files=_third(spark, root), files=_glob(root))
+    bronze = spark.read.table(lake.name("bronze", "batting", "motion"))
+    clean(bronze).write.saveAsTable(lake.name("silver", "batting", "motion"))
+    found = staged(validate(spark, [f"{lake.namespaces}bronze", f"{lake.namespaces}silver"]), "layers")
+    drop_layers(spark, lake.namespaces)
+    return found.withColumn("layer", F.substring_index("layer", "_", -1))
+
+
 @query("ingest_row_index", f"""SELECT event, row_number,
   row_number() OVER (ORDER BY game, event, row_number) - 1 AS row_index FROM ({CSV_SQL})""")
 def ingest_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from swinglake.operators.swings import (
     cluster_points, elbow, fit_clusters, kmeans_sweep, label_clusters, pca_scores, silhouette,
     standardize, swing_features,
 )
-from swinglake.plans.clusters import scored, swing_clusters
-from swinglake.session import staged
+from swinglake.plans.clusters import fit_swing_model, label_swings, scored, swing_clusters
+from swinglake.session import scratch_dir, staged
 
 
 def _embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +142,17 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (squares <= F.lit(float(model.summary.trainingCost) * (1 + 1e-9))).alias("settled"))
 
 
+@query("saved_model", "SELECT vec_id, true AS same FROM embeddings")
+def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that was saved and loaded puts every vector in the cluster it had."""
+    features, at = staged(_embedded(spark, sf_dir), "features"), scratch_dir(spark, "model")
+    model = fit_swing_model(features)
+    model.save(at)
+    before, after = (label_swings(features, m).select("vec_id", F.col("Cluster").alias(name))
+                     for m, name in ((model, "before"), (PipelineModel.load(at), "after")))
+    return before.join(after, "vec_id").select("vec_id", (F.col("before") == F.col("after")).alias("same"))
+
+
 @query("silhouette", "SELECT count(*) AS n_rows, true AS in_range FROM embeddings")
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedded = scored(_embedded(spark, sf_dir))

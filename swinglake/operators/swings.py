@@ -8,9 +8,12 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.feature import (
+    PCA, ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
@@ -40,26 +43,32 @@ def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         inputCols=list(columns), outputCol="features", handleInvalid="error").transform(df)
 
 
-def standardize(df: DataFrame, column: str = "features", out: str = "scaled") -> DataFrame:
+def _without(column: str) -> SQLTransformer:
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({column}) FROM __THIS__")
+
+
+def fit_scaler(df: DataFrame, column: str = "features", out: str = "scaled") -> PipelineModel:
     """Zero mean and unit population deviation per feature; constants become 0.
 
     Only means and deviations, two numbers per feature, reach the driver.
     """
-    scaler = StandardScaler(inputCol=column, outputCol="_unit", withMean=True, withStd=True)
-    unit = scaler.fit(df).transform(df)
+    scaler = StandardScaler(inputCol=column, outputCol="_unit", withMean=True, withStd=True).fit(df)
     n = df.count()
     # the scaler divides by the sample deviation
     factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
-    width = df.schema[column].metadata.get("ml_attr", {}).get("num_attrs")
-    width = width or df.select(F.size(vector_to_array(column))).first()[0]
     rescale = ElementwiseProduct(
-        scalingVec=Vectors.dense([factor] * width), inputCol="_unit", outputCol=out)
-    return rescale.transform(unit).drop("_unit")
+        scalingVec=Vectors.dense([factor] * len(scaler.mean)), inputCol="_unit", outputCol=out)
+    return PipelineModel([scaler, rescale, _without("_unit")])
 
 
-def pca_scores(df: DataFrame, k: int = COMPONENTS, column: str = "scaled",
-               out: str = "scores") -> DataFrame:
-    """Scores on the first ``k`` principal components of a centred column.
+def standardize(df: DataFrame, column: str = "features", out: str = "scaled") -> DataFrame:
+    """``df`` with its features scaled by their own means and deviations."""
+    return fit_scaler(df, column, out).transform(df)
+
+
+def fit_components(df: DataFrame, k: int = COMPONENTS, column: str = "scaled",
+                   out: str = "scores") -> PipelineModel:
+    """The first ``k`` principal components of a centred column.
 
     Each component is turned so that its largest loading is positive, which makes
     the scores comparable between runs.  The driver holds one matrix of the size
@@ -71,7 +80,13 @@ def pca_scores(df: DataFrame, k: int = COMPONENTS, column: str = "scaled",
     signs = np.sign(loadings[largest, np.arange(loadings.shape[1])])
     turn = ElementwiseProduct(
         scalingVec=Vectors.dense(signs), inputCol="_raw", outputCol=out)
-    return turn.transform(model.transform(df)).drop("_raw")
+    return PipelineModel([model, turn, _without("_raw")])
+
+
+def pca_scores(df: DataFrame, k: int = COMPONENTS, column: str = "scaled",
+               out: str = "scores") -> DataFrame:
+    """``df`` with its scores on its own principal components."""
+    return fit_components(df, k, column, out).transform(df)
 
 
 def fit_clusters(df: DataFrame, k: int = CLUSTERS, column: str = "scores",

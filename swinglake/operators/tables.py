@@ -33,6 +33,21 @@ def ensure_layers(spark: SparkSession, prefix: str = "", root: str | None = None
     return names
 
 
+def drop_layers(spark: SparkSession, prefix: str, layers: Mapping[str, str] = LAYERS) -> None:
+    """Forget the namespaces and their tables; files of external tables stay."""
+    for layer in layers:
+        spark.sql(f"DROP DATABASE IF EXISTS `{prefix}{layer}` CASCADE")
+
+
+def ensure_external(spark: SparkSession, name: str, path: str) -> None:
+    """Make a folder of Parquet files known to the catalog, with all partitions it has by now."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path, "parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType,
                  keys: Sequence[str] = CLUSTER_KEYS, comment: str = "",
                  fmt: str = "parquet") -> None:

@@ -94,6 +94,17 @@ def test_schema_is_pinned_once(spark, tmp_path):
     assert first["a"].dataType.simpleString() == "int"
 
 
+def test_schema_of_different_headers_goes_by_name(spark, tmp_path):
+    put(tmp_path, "in/m.csv", "a,b,d,t\n1,x,2020-01-02,true\n")
+    put(tmp_path, "in/n.csv", "b,A,d,n\ny,2.5,2020-01-02 10:00:00,\n")
+    put(tmp_path, "in/o.csv", "a,b,e,\n99999999999,,12:30\n")
+    schema = pinned_schema(spark, f"{tmp_path}/in", f"{tmp_path}/schema")
+    assert {f.name.lower(): f.dataType.simpleString() for f in schema} == {
+        "a": "double", "b": "string", "d": "timestamp", "t": "boolean", "n": "string", "e": "string"}
+    got = rescue_csv(spark, f"{tmp_path}/in", schema).collect()
+    assert sorted((r["a"], r["b"]) for r in got if r["b"]) == [(1.0, "x"), (2.5, "y")]
+
+
 EVENT = "2023_04_26_19_10_{:02d}_River_Otters_17_Al_Cole_Home"
 
 

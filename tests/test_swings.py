@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from swinglake.plans.clusters import fit_swing_model, label_swings
+
 from swinglake.operators.swings import (
     assemble, cluster_points, elbow, fit_clusters, kmeans_sweep, label_clusters, pca_scores,
     silhouette, standardize, total_squares,
@@ -83,6 +86,17 @@ def test_labels(spark, features, tmp_path):
     assert again.exceptAll(table).count() == 0
 
 
+def test_later_swings_go_through_the_fitted_model(spark, features, matrix, tmp_path):
+    model = fit_swing_model(features)
+    model.save(f"{tmp_path}/model")
+    few = features.where("input_event IN ('e3', 'e7', 'e11')")
+    later = label_swings(few, PipelineModel.load(f"{tmp_path}/model"))
+    assert later.count() == 3
+    every = label_swings(features, model)
+    assert later.exceptAll(every).count() == 0
+    assert every.columns == label_clusters(pca_scores(standardize(features)), model.stages[-1]).columns
+
+
 def test_missing_features_are_an_error(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(Exception, match="null|NULL"):
