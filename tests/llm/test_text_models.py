@@ -133,6 +133,25 @@ def test_every_document_that_holds_an_item_is_found(spark):
     assert {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in docs.collect()} - {d for d, _ in want}
 
 
+def test_edited_and_truncated_items_are_found(spark):
+    texts = [" ".join(f"q{i}w{k}" for k in range(16 + 8 * (i % 3))) for i in range(9)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows, want = [], set()
+    for i, t in enumerate(texts):
+        words = t.split()
+        copies = [words[:-(len(words) // 4)]]                             # without its last quarter
+        copies += [words[:at] + ["other"] + words[at + 1:] for at in range(len(words))]
+        if len(words) >= 32:
+            copies += [[("other" if k in (3, 14, 29) else w) for k, w in enumerate(words)]]
+        copies += [[("other" if k in (0, len(words) - 2) else w) for k, w in enumerate(words)]]
+        for c in copies:
+            want.add((len(rows), i))
+            rows.append((len(rows), " ".join(["before", *c, "after"])))
+    docs = spark.createDataFrame([*rows, (len(rows), "nothing of any item")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in dc.contamination(docs, items).collect()} == want
+    assert [r["doc_id"] for r in dc.without_contaminated(docs, items).collect()] == [len(rows)]
+
+
 def test_decontamination_of_awkward_rows(spark, monkeypatch):
     docs = awkward(spark)
     items = spark.createDataFrame(
