@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from swinglake.llm.common import lower_ascii, staged
 from swinglake.llm.counts import answers, block_of, layout, tallied, totals
 
-ORDER = 2
+ORDER = 3
 BLOCK_BYTES = 4 << 20
 RARE = 0.8            # of what is left to a history seen once, the share that goes to lower orders
 _END = 0x5851F42D4C957F2D

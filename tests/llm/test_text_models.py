@@ -96,6 +96,13 @@ def test_automaton_agrees_with_the_model(spark, monkeypatch, order):
     assert lm.scores(nothing(spark)).count() == 0
 
 
+def test_registered_model_backs_off_more_than_once(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choice("abcd") for _ in range(30))) for i in range(60)]
+    got = {r["doc_id"]: r["score"] for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == pytest.approx({w[0]: w[6] for w in _model(rows, 3)}, rel=1e-9)
+
+
 def test_model_beats_its_base_on_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     base, score = lm.scores(docs).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
