@@ -3,6 +3,8 @@
 A source's mean repetition rate is its share of the mixture over its share of the
 bytes.  Each document inverts the Poisson distribution with that mean at a number its
 id and the seed decide, is repeated as often, and all copies are shuffled by a hash.
+Above ``MAX_RATE`` a document adds up independent draws of equal parts of the rate,
+whose sum has the Poisson distribution of the whole.
 """
 
 from __future__ import annotations
@@ -12,8 +14,10 @@ from pyspark.sql import functions as F
 
 from swinglake.llm.common import staged, unit_hash
 
-MAX_RATE = 500.0      # beyond it exp(-rate) leaves the range of doubles
-ADDED = ("rate", "copies", "copy", "shuffle_key", "mix_source", "cdf")
+MAX_RATE = 500.0      # of one draw; exp(-rate) loses digits from 708 on
+PART_RATE = 100.0     # of each draw where one is not enough
+STRETCH = 10_000      # copies listed at a time
+ADDED = ("rate", "copies", "copy", "shuffle_key", "mix_source", "cdf", "draws")
 
 
 def source_bytes(docs: DataFrame, source: str = "source") -> DataFrame:
@@ -28,7 +32,7 @@ def root_weights(sizes: DataFrame) -> DataFrame:
 
 
 def repetition_rates(sizes: DataFrame, weights: DataFrame, epochs: float = 1.0) -> DataFrame:
-    """``mix_source``, ``rate`` and ``cdf``, the Poisson distribution of that mean.
+    """``mix_source``, ``rate``, ``draws`` and ``cdf``, the Poisson distribution of ``rate / draws``.
 
     ``weights`` has ``mix_source`` and ``mix_weight`` (whole numbers, any scale).  A source
     without weight has rate 0; one without bytes has rate 1.  Distributions are listed
@@ -41,17 +45,17 @@ def repetition_rates(sizes: DataFrame, weights: DataFrame, epochs: float = 1.0)
     rate = F.when(F.col("mix_bytes") == 0, F.lit(1.0)).otherwise(
         F.lit(float(epochs)) * F.col("mix_weight").cast("double") * F.col("all_bytes").cast("double")
         / (F.col("all_weight").cast("double") * F.col("mix_bytes").cast("double")))
-    checked = F.when(rate > MAX_RATE, F.raise_error(F.lit(f"a source would be repeated over {MAX_RATE} times"))
-                     .cast("double")).otherwise(rate)
+    draws = F.when(F.col("rate") > MAX_RATE, F.ceil(F.col("rate") / PART_RATE)).otherwise(F.lit(1)).cast("int")
     # both sides of the join have a row per source, totals a single row
-    rates = both.join(F.broadcast(totals), F.lit(True)).select("mix_source", checked.alias("rate"))
-    terms = F.expr("sequence(1, cast(ceil(rate + 12 * sqrt(rate) + 30) as int))")
-    start = F.expr("struct(exp(-rate) AS p, exp(-rate) AS c, array(exp(-rate)) AS cdf)")
+    rates = both.join(F.broadcast(totals), F.lit(True)).select("mix_source", rate.alias("rate")).withColumn(
+        "draws", draws).withColumn("part", F.col("rate") / F.col("draws"))
+    terms = F.expr("sequence(1, cast(ceil(part + 12 * sqrt(part) + 30) as int))")
+    start = F.expr("struct(exp(-part) AS p, exp(-part) AS c, array(exp(-part)) AS cdf)")
     step = F.expr("""aggregate(terms, first, (s, i) -> struct(
-        s.p * rate / i AS p, s.c + s.p * rate / i AS c, concat(s.cdf, array(s.c + s.p * rate / i)) AS cdf),
+        s.p * part / i AS p, s.c + s.p * part / i AS c, concat(s.cdf, array(s.c + s.p * part / i)) AS cdf),
         s -> s.cdf)""")
-    return (rates.select("mix_source", "rate", terms.alias("terms"), start.alias("first"))
-            .select("mix_source", "rate", step.alias("cdf")))
+    return (rates.select("mix_source", "rate", "draws", "part", terms.alias("terms"), start.alias("first"))
+            .select("mix_source", "rate", "draws", step.alias("cdf")))
 
 
 def replicate(docs: DataFrame, rates: DataFrame, *, source: str = "source", seed: str = "mix") -> DataFrame:
@@ -60,14 +64,20 @@ def replicate(docs: DataFrame, rates: DataFrame, *, source: str = "source", seed
     Rows with equal ids draw the same number; a row without id draws by its text.
     ``rates`` has a row per source and is read from files, whose size decides: Spark
     broadcasts it below its limit, else the adaptive join splits large sources.  The shuffle key is uniform, so
-    hash partitions sorted by it are a random order of the whole.
+    hash partitions sorted by it are a random order of the whole.  ``copies`` is an int.
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
     drawn = docs.drop(*ADDED).withColumn("_name", name).withColumn("_u", unit_hash(F.lit(seed), F.col("_name")))
     joined = drawn.join(rates, F.col(source).eqNullSafe(F.col("mix_source"))).drop("mix_source")
-    counted = (joined.withColumn("copies", F.expr("size(filter(cdf, c -> c <= _u))"))
-               .where("copies > 0").drop("cdf", "_u"))
-    copies = counted.withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
+    drawn_once = F.expr("size(filter(cdf, c -> c <= _u))")
+    summed = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("draws")), lambda i: unit_hash(
+        F.lit(seed), F.col("_name"), F.lit("draw"), i.cast("string"))), F.lit(0),
+        lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
+    counted = (joined.withColumn("copies", F.when(F.col("draws") == 1, drawn_once).otherwise(summed))
+               .where("copies > 0").drop("cdf", "draws", "_u"))
+    stretches = counted.withColumn("_stretch", F.explode(F.expr(f"sequence(0, cast((copies - 1) div {STRETCH} as int))")))
+    copies = stretches.withColumn("copy", F.explode(F.expr(
+        f"sequence(_stretch * {STRETCH} + 1, least(copies - _stretch * {STRETCH}, {STRETCH}) + _stretch * {STRETCH})"))).drop("_stretch")
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), "_name", F.col("copy").cast("string"))))
     return keyed.drop("_name").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 

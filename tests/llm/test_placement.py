@@ -86,6 +86,25 @@ def test_copies_follow_the_inverted_poisson_distribution(spark):
     assert np.corrcoef(ids, range(len(ids)))[0, 1] < 0.05      # shuffled
 
 
+def test_a_tiny_source_of_a_large_table(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 700)
+    big = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(1000)).alias("text"), F.lit("big").alias("source"))
+    tiny = spark.createDataFrame([(9999, "y", None)], "doc_id long, text string, source string")
+    got = mixing.mix(big.unionByName(tiny)).where("source IS NULL").collect()
+    rate = 5_000_001 / (2236 + 1)
+    assert rate > mixing.MAX_RATE and len(got) == got[0]["copies"] and abs(len(got) - rate) < 6 * rate ** .5
+    assert sorted(r["copy"] for r in got) == list(range(1, len(got) + 1)) and abs(got[0]["rate"] - rate) < 1e-6
+
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("z").alias("text"), F.lit("s").alias("source"))
+    weights = spark.createDataFrame([("s", 1)], "mix_source string, mix_weight long")
+    drawn = {r["doc_id"]: r["copies"] for r in mixing.mix(docs, weights, epochs=1500.0).where("copy = 1").collect()}
+    for i, n in drawn.items():
+        us = [int(hashlib.md5(f"mix:{i}:draw:{k}".encode()).hexdigest()[:13], 16) / 2 ** 52 for k in range(1, 16)]
+        assert n == sum(_copies(100.0, u) for u in us)
+    counts = np.array(list(drawn.values()))
+    assert len(counts) == 300 and abs(counts.mean() - 1500) < 5 * (1500 / 300) ** .5 and 0.6 < counts.var() / 1500 < 1.5
+
+
 def test_mixing_of_awkward_rows(spark):
     got = mixing.mix(awkward(spark)).collect()
     assert {(r["doc_id"], r["text"]) for r in got} <= {(i, t) for i, t, _, _ in ROWS}
