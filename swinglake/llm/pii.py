@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from swinglake.llm.common import staged
 
-SUPPORT = 3            # distinct texts an entity, and a term with it, must be seen in
+SUPPORT = 3            # distinct texts of an entity a term must be in; all of them, if they are fewer
 GENERALISE, REMOVE = 0.8, 0.95      # shares of an entity's information
 SPAN = "array<struct<start: int, end: int>>"
 
@@ -102,22 +102,26 @@ def _words(text: str) -> Column:
 def revealing_terms(based: DataFrame) -> DataFrame:
     """``_text_key, term, remove``: terms that give away an entity of the text, over the thresholds.
 
-    ``based`` is ``with_base_spans`` of the corpus.  Shares are of all rows, but entities, and
-    terms with them, seen in fewer than ``SUPPORT`` distinct texts have no co-occurrence to
-    speak of.  Only texts that hold an entity are shuffled.
+    ``based`` is ``with_base_spans`` of the corpus.  Shares are of all rows.  Every entity is
+    assessed; one seen in a single text is given away by that text's rare words.
+    Entities of the same texts have the same figures and are assessed as one, so a text
+    meets each of its words once, however many entities only it holds.  Only texts that
+    hold an entity are shuffled.
     """
     total = float(max(based.count(), 1))
     rows = staged(based.where(HOLDS).groupBy("_text_key").agg(F.count("*").alias("rows"), F.first("_text").alias("_text"),
                   *(F.first(f"_{k.name}").alias(f"_{k.name}") for k in KINDS)), "entity-texts")
     held = rows.select("_text_key", "rows", F.explode(_entities()).alias("entity"))
-    known = held.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("rows").alias("n_entity")).where(
-        F.col("texts") >= SUPPORT)
-    held = staged(held.join(known, "entity"), "entities")
-    listed = staged(rows.join(held.select("_text_key").distinct(), "_text_key")
-                    .select("_text_key", F.explode(_words("_text")).alias("term")), "words")
+    same = [F.hex(F.bit_xor(F.xxhash64("_text_key", F.lit(seed)))) for seed in (0, 1)]
+    known = held.groupBy("entity").agg(F.count("*").alias("in_texts"), F.sum("rows").alias("n_entity"),
+                                       F.concat_ws(":", F.count("*"), *same).alias("unit"))
+    held = staged(held.join(known, "entity").select(
+        "_text_key", "rows", F.col("unit").alias("entity"), "in_texts", "n_entity").distinct(), "entities")
+    listed = staged(rows.select("_text_key", F.explode(_words("_text")).alias("term")), "words")
     pairs = (listed.join(held, "_text_key").groupBy("entity", "term")
-             .agg(F.count("*").alias("texts"), F.sum("rows").alias("n_both"), F.first("n_entity").alias("n_entity"))
-             .where(F.col("texts") >= SUPPORT))
+             .agg(F.count("*").alias("texts"), F.sum("rows").alias("n_both"), F.first("n_entity").alias("n_entity"),
+                  F.first("in_texts").alias("in_texts"))
+             .where(F.col("texts") >= F.least(F.lit(SUPPORT), F.col("in_texts"))))
     pairs = staged(pairs, "pairs")
     # every word of the corpus is counted before it meets the terms asked for
     seen = (based.select(F.explode(_words("_text")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))

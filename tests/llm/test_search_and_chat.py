@@ -95,6 +95,18 @@ def test_terms_that_give_an_entity_away(spark):
     assert got[30]["sanitized"] == "a quarrel number patient 0"
 
 
+def test_entities_of_one_text_are_assessed(spark):
+    rows = [(1, "Patient Zanzibar wrote quarrel from ann.lee@mail.example for +1 (017) 555-7713")]
+    rows += [(2 + i, f"Mister Quux wrote from bob@mail.example number {'abcdefgh'[i] * 3}") for i in range(2)]
+    rows += [(10 + i, f"a quarrel number {i}") for i in range(3)] + [(50 + i, f"Patient wrote from for number {i}") for i in range(2000)]
+    rows += [(5000 + i, "Mister number") for i in range(500)]
+    got = {r["doc_id"]: r for r in pii.sanitize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # zanzibar is only in this text: removed; quarrel is rare elsewhere: generalised
+    assert got[1]["sanitized"] == "Patient  wrote [TERM] from [EMAIL] for [PHONE]"
+    # quux is in both texts of its entity; aaa only in one of them
+    assert got[2]["sanitized"] == "Mister  wrote from [EMAIL] number aaa"
+
+
 def test_sanitising_awkward_rows(spark):
     got = pii.sanitize(awkward(spark))
     assert got.count() == len(ROWS) and got.where("sanitized <> coalesce(text, '')").count() == 0
