@@ -200,7 +200,7 @@ def _with_folder(df: DataFrame) -> DataFrame:
 @query("csv_stream", CUSTOMER_SQL)
 def csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, at = _land_customers(spark, sf_dir, " "), scratch_dir(spark, "csv-stream")
-    schema = pinned_schema(spark, files, f"{at}/schema", sep=" ")
+    schema = pinned_schema(spark, files, f"{at}/schema", delimiter=" ")
     stream = _with_folder(with_input_file(read_csv_stream(spark, files, " ", schema)))
     write_stream(stream, f"{at}/table", f"{at}/checkpoint")
     return spark.read.schema(stream.schema).parquet(f"{at}/table").withColumn(

@@ -8,8 +8,11 @@ from pyspark.sql.types import StructType
 from swinglake.operators.tables import read_merged
 from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
 from swinglake.sources import files as src
-from swinglake.sources.delimited import pinned_schema, read_report, rescue_cast, rescue_csv
+from swinglake.sources.delimited import (
+    pinned_schema, read_csv_stream, read_report, rescue_cast, rescue_csv,
+)
 from swinglake.sources.xml import read_xml
+from swinglake.streaming.sinks import write_stream
 
 
 def put(root, name: str, text: str) -> None:
@@ -94,6 +97,16 @@ def test_schema_is_pinned_once(spark, tmp_path):
     assert first["a"].dataType.simpleString() == "int"
 
 
+def test_pinned_schema_serves_the_native_stream(spark, tmp_path):
+    put(tmp_path, "in/m.csv", "a b\n1 x\n")
+    schema = pinned_schema(spark, f"{tmp_path}/in", f"{tmp_path}/schema", delimiter=" ")
+    stream = read_csv_stream(spark, f"{tmp_path}/in", " ", schema)
+    write_stream(stream, f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    assert spark.read.parquet(f"{tmp_path}/table").collect() == [(1, "x")]
+    with pytest.raises(ValueError, match="sep"):
+        pinned_schema(spark, f"{tmp_path}/in", f"{tmp_path}/other", sep=" ")
+
+
 def test_schema_of_different_headers_goes_by_name(spark, tmp_path):
     put(tmp_path, "in/m.csv", "a,b,d,t\n1,x,2020-01-02,true\n")
     put(tmp_path, "in/n.csv", "b,A,d,n\ny,2.5,2020-01-02 10:00:00,\n")
