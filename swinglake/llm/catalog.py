@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swinglake.catalog.registry import Entry, Query
-from swinglake.llm import ann, chat, decontamination, jaccard, lm, mixing, pii, sharding, token_orc, toxicity
+from swinglake.llm import (
+    ann, chat, decontamination, divergence, jaccard, line_dedup, lm, mixing, pii, sharding, spelling, token_orc, toxicity,
+)
 from swinglake.llm.common import staged, table
 from swinglake.session import scratch_dir
 
@@ -144,3 +146,67 @@ def write_and_digest(docs: DataFrame) -> DataFrame:
 def quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages in reply order, without quotes."""
     return chat.conversations(table(spark, sf_dir, "conversations"))
+
+
+DIVERGENCE_SQL = r"""
+WITH words AS (SELECT doc_id, row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 3),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+whole AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+sized AS (SELECT g.lang, g.source, coalesce(w.v, 0)::HUGEINT AS v, coalesce(w.total, 0)::HUGEINT AS lang_total,
+    coalesce(sum(c.n), 0)::HUGEINT AS total
+  FROM groups g LEFT JOIN whole w ON w.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+priced AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.total + s.v))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (k.n + 1)) // (s.lang_total + s.v))::BIGINT AS q
+  FROM sized s JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every_pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (
+    PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM every_pair
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q, row_number() OVER (
+    PARTITION BY lang, source ORDER BY ((p - q) * (p - q)) // q DESC, encode(term))
+  FROM priced WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+@query("op11_quadtree_divergence", DIVERGENCE_SQL)
+def quadtree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are from each other, and the terms that set them apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+repeated AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.first AS dropped FROM keyed k LEFT JOIN repeated r ON r.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def line_dedup_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the lines that earlier ones hold."""
+    cleaned = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped",
+                          F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op13_bit_sliced_spelling")
+def bit_sliced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents and the more frequent form that each is a misspelling of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))

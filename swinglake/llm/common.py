@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,18 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def free_names(taken: Iterable[str], *stems: str) -> list[str]:
+    """Column names made of ``stems`` that clash with none of ``taken``, whatever their case."""
+    used, out = {c.lower() for c in taken}, []
+    for stem in stems:
+        name = f"_{stem}"
+        while name in used:
+            name += "_"
+        used.add(name)
+        out.append(name)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
