@@ -1,7 +1,7 @@
 """Lines that many documents share, dropped everywhere but in one; DataFrame operations only.
 
-Lines are exploded with a hash of their normal form.  Documents are counted per hash,
-with partial counts before the shuffle; hashes over the threshold meet the lines again
+Lines are exploded with a hash of their normal form.  Distinct documents are counted per
+hash, with partial counts before each shuffle; hashes over the threshold meet the lines again
 and give each document the positions it loses, from which it is put together anew.
 """
 
@@ -18,45 +18,40 @@ HOT = 4096              # a repeated line with more than this part of their rows
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def normal_line(line: Column) -> Column:
-    """The line without blanks at both ends, A-Z in lower case."""
-    return lower_ascii(F.btrim(line, F.lit(BLANKS)))
-
-
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _key(line: Column, least_length: int) -> Column:
-    """MD5 of a normalised line that is long enough, else null."""
-    return F.when(F.char_length(line) >= least_length, F.md5(line))
+def listed_lines(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
+    """``doc_id, content, at, line``: each long enough line, as the 16-byte MD5 of its normal form.
+
+    ``content`` hashes the whole text, ``at`` counts its lines from 0.
+    """
+    lowered = F.posexplode(_lines(lower_ascii(F.col("text")))).alias("at", "raw")
+    return (docs.select("doc_id", F.xxhash64("text").alias("content"), lowered)
+            .withColumn("normal", F.btrim("raw", F.lit(BLANKS))).where(F.char_length("normal") >= least_length)
+            .select("doc_id", "content", "at", F.unhex(F.md5("normal")).alias("line")))
 
 
-def repeated_lines(docs: DataFrame, least_length: int = LEAST_LENGTH,
-                   least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """``line, n_documents, first``: normalised lines (as a 16-byte MD5) in at least so many documents.
+def repeated_lines(listed: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """``line, n_documents, n_lines, first``: lines that at least so many documents hold.
 
-    ``docs`` has ``doc_id`` and ``text``.  ``first`` is the least doc_id that holds the line, null
-    only if no other id holds it.  A row is a document, and counts a line once.
+    ``first`` is the least doc_id that holds the line, null only if no other id holds it.
     """
-    normal = F.transform(_lines(F.col("text")), lambda x: _key(normal_line(x), least_length))
-    listed = docs.select("doc_id", F.explode(F.array_distinct(normal)).alias("line")).where("line IS NOT NULL")
-    return (listed.select("doc_id", F.unhex("line").alias("line")).groupBy("line")
-            .agg(F.count("*").alias("n_documents"), F.min("doc_id").alias("first"))
+    by_document = listed.groupBy("line", "doc_id").agg(F.count("*").alias("n_lines"))
+    return (by_document.groupBy("line")
+            .agg(F.count("*").alias("n_documents"), F.sum("n_lines").alias("n_lines"), F.min("doc_id").alias("first"))
             .where(F.col("n_documents") >= least_documents))
 
 
-def _lost_positions(docs: DataFrame, repeated: DataFrame, least_length: int) -> DataFrame:
+def _lost_positions(listed: DataFrame, repeated: DataFrame) -> DataFrame:
     """``doc_id, content, lost``: positions of the lines that each text loses.
 
     The few lines that make up much of all repeated ones are met by a broadcast of at most
     ``HOT`` rows; no other is more than that part of what is shuffled.
     """
-    total = repeated.agg(F.coalesce(F.sum("n_documents"), F.lit(0))).first()[0]
-    heavy = F.col("n_documents") * F.lit(HOT) > F.lit(total)
-    listed = (docs.select("doc_id", F.xxhash64("text").alias("content"), F.posexplode(_lines(F.col("text"))).alias("at", "raw"))
-              .select("doc_id", "content", "at", F.unhex(_key(normal_line(F.col("raw")), least_length)).alias("line"))
-              .where("line IS NOT NULL"))
+    total = repeated.agg(F.coalesce(F.sum("n_lines"), F.lit(0))).first()[0]
+    heavy = F.col("n_lines") * F.lit(HOT) > F.lit(total)
     hot = repeated.where(heavy).select("line", F.col("first").alias("hot_first"), F.lit(True).alias("hot"))
     met = listed.join(F.broadcast(hot), "line", "left")
     elsewhere = ~F.col("doc_id").eqNullSafe(F.col("first"))
@@ -75,14 +70,15 @@ def without_repeated_lines(docs: DataFrame, least_length: int = LEAST_LENGTH,
     equal without blanks at both ends and with A-Z in lower case.  A line of at least
     ``least_length`` code points that is in at least ``least_documents`` documents stays, wherever
     it stands there, in the document with the least doc_id, and is dropped from all others;
-    what is left keeps its order.  Rows that repeat a doc_id all are the document with that
-    id; a null id is the last, and rows with it are alike.  Columns of the three names give way.
+    what is left keeps its order.  Rows that repeat a doc_id are one document, and so are
+    rows without an id, which comes after all ids.  Columns of the three names give way.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
     id_, content, lost, lines = free_names(own, "id", "content", "lost", "lines")
     narrow = docs.select("doc_id", "text")
-    repeated = staged(repeated_lines(narrow, least_length, least_documents), "repeated-lines")
-    positions = _lost_positions(narrow, repeated, least_length).toDF(id_, content, lost)
+    listed = staged(listed_lines(narrow, least_length), "lines")
+    repeated = staged(repeated_lines(listed, least_documents), "repeated-lines")
+    positions = staged(_lost_positions(listed, repeated), "lost-lines").toDF(id_, content, lost)
     rows = docs.select(*own, F.xxhash64("text").alias(f"{content}_row"))
     joined = rows.join(positions, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(f"{content}_row") == F.col(content)), "left")
     # the split text is handed to the lambda as a variable, else each line would split it again
