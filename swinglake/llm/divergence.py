@@ -26,7 +26,7 @@ TERMS = 900            # terms in a tile, about
 GROUPS = 64            # groups in a tile, at most
 TOP_TERMS = 200
 UNIT = 1_000_000_000   # what the shares of a group add up to, about
-HELD = 300_000         # counts that a task keeps before it hands them on
+HELD = 600_000         # counts that a task keeps before it hands them on
 
 # bytes that belong to terms are kept, A-Z in lower case; all others separate
 _TO_TERMS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in bytes(range(256)).lower())
@@ -55,20 +55,21 @@ def term_counts(docs: DataFrame) -> DataFrame:
         held = 0
         for batch in batches:
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
-                terms = Counter(text.as_py().translate(_TO_TERMS).split())
-                group = (lang, source)
-                n.setdefault(group, Counter()).update(terms)
-                rows.setdefault(group, Counter()).update(terms.keys())
-                held += len(terms)
-                if held >= HELD * 4:      # terms of several rows count once
-                    held = sum(map(len, n.values()))
-                    if held >= HELD:
-                        yield from flush()
-                        held = 0
+                terms = text.as_py().translate(_TO_TERMS).split()
+                counts = n.setdefault((lang, source), Counter())
+                before = len(counts)
+                counts.update(terms)
+                rows.setdefault((lang, source), Counter()).update(set(terms))
+                held += len(counts) - before
+                if held >= HELD:
+                    yield from flush()
+                    held = 0
         yield from flush()
 
     texts = docs.select(*_group(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    parts = texts.mapInArrow(count, "lang string, source string, term string, n long, documents long")
+    # added up by the tasks already; all groups of a term come to one place, so that later sums need no exchange
+    parts = texts.mapInArrow(count, "lang string, source string, term string, n long, documents long").repartition(
+        "lang", "term")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
 
 
@@ -112,9 +113,9 @@ def price(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _share(count: str, total: str) -> Column:
-    """As :func:`shares`; beyond 9 digits the product needs a decimal."""
-    return F.expr(f"1 + (CAST({count} + 1 AS DECIMAL(20,0)) * CAST({UNIT} AS DECIMAL(10,0))) "
-                  f"div CAST({total} AS DECIMAL(20,0))")
+    """As :func:`shares`; a product beyond 63 bits is made as a decimal."""
+    wide = f"(CAST({count} + 1 AS DECIMAL(20,0)) * CAST({UNIT} AS DECIMAL(10,0))) div CAST({total} AS DECIMAL(20,0))"
+    return F.expr(f"1 + CASE WHEN {count} < 9000000000 THEN ({count} + 1) * {UNIT}L div {total} ELSE {wide} END")
 
 
 # --- trees -----------------------------------------------------------------
@@ -123,15 +124,15 @@ class QuadTree:
     """A k-squared tree (k = 2) over a square of ``1 << depth`` groups by as many terms.
 
     ``bits[level]`` has four bits for each node of the level, set where a quadrant holds a count; the n-th
-    set bit of a level is node n of the next one, and of the last level it is leaf n.
+    set bit of a level is node n of the next one, and of the last level it is leaf n, whose share is kept.
     """
 
-    def __init__(self, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, depth: int):
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, totals: np.ndarray, depth: int):
         codes = np.zeros(len(rows), np.int64)
         for level in range(depth - 1, -1, -1):        # two bits a level: the quadrant's row and column
             codes = codes << 2 | (rows >> level & 1) << 1 | columns >> level & 1
         order = np.argsort(codes)
-        codes, self.leaves = codes[order], counts[order]
+        codes, self.shares = codes[order], shares(counts[order], totals[rows[order]])
         self.bits, self.rank = [], []
         parents = np.zeros(min(1, len(codes)), np.int64)
         for level in range(depth):
@@ -144,7 +145,7 @@ class QuadTree:
 
     def down(self, level: int, node: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
         """Children of nodes; -1 stands for an all-zero quadrant, as node and as child."""
-        if not len(self.leaves):
+        if not len(self.shares):
             return np.full(len(node), -1)
         at = 4 * np.maximum(node, 0) + quadrant
         return np.where((node >= 0) & self.bits[level][at], self.rank[level][at], -1)
@@ -162,7 +163,7 @@ def pair_prices(a: QuadTree, b: QuadTree, depth: int, width: int, totals_a: np.n
     ba = np.zeros_like(ab)
     uniform = price(zero_a[:, None], zero_b[None, :]), price(zero_b[None, :], zero_a[:, None])
     here = np.zeros(1, np.int64)
-    node_a, node_b, row_a, row_b, column = (np.full(1, 0 if len(a.leaves) else -1), np.full(1, 0 if len(b.leaves) else -1),
+    node_a, node_b, row_a, row_b, column = (np.full(1, 0 if len(a.shares) else -1), np.full(1, 0 if len(b.shares) else -1),
                                             here, here, here)
     quadrants = np.array([(i, j, c) for i in (0, 1) for j in (0, 1) for c in (0, 1)])
     for level in range(depth + 1):
@@ -189,10 +190,11 @@ def pair_prices(a: QuadTree, b: QuadTree, depth: int, width: int, totals_a: np.n
         if same:
             inside &= row_a <= row_b
         node_a, node_b, row_a, row_b, column = (x[inside] for x in (node_a, node_b, row_a, row_b, column))
-    p = np.where(node_a >= 0, shares(a.leaves[node_a], totals_a[row_a]) if len(a.leaves) else 0, zero_a[row_a])
-    q = np.where(node_b >= 0, shares(b.leaves[node_b], totals_b[row_b]) if len(b.leaves) else 0, zero_b[row_b])
-    np.add.at(ab, (row_a, row_b), price(p, q))
-    np.add.at(ba, (row_a, row_b), price(q, p))
+    p, q = (np.where(node >= 0, known[node], zero[row]) if len(known) else zero[row] for node, known, zero, row in (
+        (node_a, a.shares, zero_a, row_a), (node_b, b.shares, zero_b, row_b)))
+    square = ((p - q) * (p - q)).view(np.uint64)
+    np.add.at(ab, (row_a, row_b), (square // q.view(np.uint64)).view(np.int64))
+    np.add.at(ba, (row_a, row_b), (square // p.view(np.uint64)).view(np.int64))
     if same:      # each pair was met once, from its smaller side; within a uniform block from both
         low = np.tril_indices(len(totals_a))
         ab[low] = ba[low] = 0
@@ -215,7 +217,8 @@ def _tile_prices(frame: pd.DataFrame, per_block: int) -> pd.DataFrame:
         own = groups[groups["number"] // per_block == block]
         mine = (counted["number"] // per_block == block).to_numpy()
         rows = counted["number"].to_numpy()[mine] % per_block
-        sides.append((QuadTree(rows, column[mine], counted["n"].to_numpy()[mine], depth), (own["total"] + own["terms"]).to_numpy(),
+        totals = (own["total"] + own["terms"]).to_numpy()
+        sides.append((QuadTree(rows, column[mine], counted["n"].to_numpy()[mine], totals, depth), totals,
                       own["number"].to_numpy()))
     (tree_a, totals_a, rows_a), (tree_b, totals_b, rows_b) = sides[0], sides[-1]
     ab, ba = pair_prices(tree_a, tree_b, depth, len(terms), totals_a, totals_b, first == second)
@@ -237,7 +240,7 @@ def pair_values(counts: DataFrame, groups: DataFrame) -> DataFrame:
     entries = counts.join(sized, ["lang", "source"]).select(
         *own, "term", "n", F.pmod(F.xxhash64("term"), tiles).alias("tile"), "block", "blocks")
     # each tile has all its groups, also those without any of its terms
-    names = sized.select(*own, F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("n"),
+    names = sized.select(*own, F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"),
                          F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("tile"), "block", "blocks")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = entries.unionByName(names).withColumn("other", other).select(

@@ -26,12 +26,12 @@ def _line_key(line: str) -> str:
 
 
 def _deduplicated(rows, length=10, documents=2):
-    """(id, text) -> (id, lines, dropped, kept text); a row is a document."""
-    holders = defaultdict(list)
+    """(id, text) -> (id, lines, dropped, kept text); rows of one id are one document."""
+    holders = defaultdict(set)
     for i, text in rows:
         for key in {_line_key(x) for x in (text or "").split("\n")}:
             if len(key) >= length:
-                holders[key].append(i)
+                holders[key].add(i)
     out = []
     for i, text in rows:
         lines, kept = (text or "").split("\n"), []
@@ -132,16 +132,20 @@ def test_divergence_of_awkward_rows(spark):
     assert divergence.audit(nothing(spark)).count() == 0
 
 
-def test_shares_of_very_large_counts():
+def test_shares_of_very_large_counts(spark):
     counts, total = np.array([0, 10 ** 12, 3 * 10 ** 14]), np.int64(4 * 10 ** 14)
-    assert divergence.shares(counts, total).tolist() == [1 + 10 ** 9 * (c + 1) // int(total) for c in counts.tolist()]
+    want = [1 + 10 ** 9 * (c + 1) // int(total) for c in counts.tolist()]
+    assert divergence.shares(counts, total).tolist() == want
+    rows = spark.createDataFrame([(c, int(total)) for c in counts.tolist()], "n long, t long")
+    assert [r[0] for r in rows.select(divergence._share("n", "t")).collect()] == want
 
 
 def test_quadrants_without_counts_are_not_entered():
-    tree = divergence.QuadTree(np.array([0, 5]), np.array([7, 7]), np.array([3, 4]), 3)
-    assert [int(b.sum()) for b in tree.bits] == [2, 2, 2] and tree.leaves.tolist() == [3, 4]
-    empty = divergence.QuadTree(*[np.array([], np.int64)] * 3, 3)
-    ab, ba = divergence.pair_prices(empty, empty, 3, 8, np.array([10, 20]), np.array([10, 20]), True)
+    totals = np.array([10, 20])
+    tree = divergence.QuadTree(np.array([0, 1]), np.array([7, 7]), np.array([3, 4]), totals, 3)
+    assert [int(b.sum()) for b in tree.bits] == [1, 1, 2] and tree.shares.tolist() == [1 + 4 * 10 ** 8, 1 + 25 * 10 ** 7]
+    empty = divergence.QuadTree(*[np.array([], np.int64)] * 3, totals, 3)
+    ab, ba = divergence.pair_prices(empty, empty, 3, 8, totals, totals, True)
     p, q = 1 + 10 ** 8, 1 + 5 * 10 ** 7
     assert ab[0, 1] == 8 * ((p - q) ** 2 // q) and ba[0, 1] == 8 * ((p - q) ** 2 // p)
 
