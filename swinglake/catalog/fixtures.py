@@ -270,6 +270,15 @@ def write_csv(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def append_csv(spark: SparkSession, sf_dir: str, root: str, rows: Column) -> None:
+    """One well-formed ``frame;cents;kind`` file more for each event, of some of its rows."""
+    cents = F.round(F.col("value") * 100).cast("long").cast("string")
+    line = F.concat_ws(";", F.col("row_number").cast("string"), cents, "event_type").alias("frame;cents;kind")
+    lines = _placed(numbered_events(spark, sf_dir).where(rows).select("user_id", "row_number", line))
+    ordered = lines.repartition("game", "event_type", "event").sortWithinPartitions("game", "event_type", "event", "row_number")
+    _by_event(ordered.drop("user_id", "row_number")).mode("append").options(header=True, sep="\u0001", quote="").csv(f"{root}/all_games")
+
+
 REPORT = """report AS (
   SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -107,6 +109,25 @@ def ingest_row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event(rows, "row_number", "row_index").drop("game")
 
 
+@query("late_files", f"""WITH {fx.EV},
+placed AS (SELECT *, {fx.FOLDER_SQL} AS event, 'game' || (user_id % 5) AS game, rn % 3 AS run FROM ev)
+SELECT event, game, rn::INT AS frame, round(value * 100)::BIGINT AS cents,
+  row_number() OVER (PARTITION BY user_id ORDER BY run, rn) AS row_number,
+  row_number() OVER (ORDER BY run, game, event, rn) - 1 AS row_index
+FROM placed""")
+def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs, and before each a file more for every event, whose name may sort before the
+    earlier ones.  The rows of all runs with their numbers at the time: a number that moved
+    would make a row of its own."""
+    at = scratch_dir(spark, "late-files")
+    lake, published = Lake(f"{at}/lake", at), []
+    for run in range(3):
+        fx.append_csv(spark, sf_dir, at, F.col("row_number") % 3 == run)
+        rows = ingest_csv(spark, lake, "motion", "batting", ";", CSV_SCHEMA, files=_glob(at))
+        published.append(staged(_event(rows, "frame", "cents", "row_number", "row_index"), "published"))
+    return reduce(DataFrame.union, published).distinct()
+
+
 @query("replayed_batches", CSV_SQL)
 def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch is written twice, as after a failure between write and commit."""

@@ -209,6 +209,31 @@ def master_batch_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digested(run())
 
 
+@query("late_parameters", MASTER_SQL)
+def late_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with half of the swings' parameters each time, then the rest lands: a run
+    with no new rows fills it in, and one more finds nothing to do."""
+    b, at = fx.bronze(spark, sf_dir), scratch_dir(spark, "late-parameters")
+    share = F.pmod(F.xxhash64("input_event"), F.lit(4))
+    rows, params = F.pmod(F.xxhash64("input_event", "row_number"), F.lit(2)) == 0, _batch(spark, b.params)
+
+    def land(name: str, some: DataFrame) -> None:
+        some.write.mode("append").parquet(f"{at}/landed/{name}")
+
+    def run() -> DataFrame:
+        return silver.master_batch(
+            stream_table(spark, f"{at}/landed/motion"), stream_table(spark, f"{at}/landed/frames"),
+            _batch(spark, f"{at}/landed/params"), f"{at}/table", at)
+
+    for first, arrived in ((rows, share == 0), (~rows, share == 1), (None, share > 1)):
+        if first is not None:
+            land("motion", _batch(spark, b.motion).where(first))
+            land("frames", _batch(spark, b.frames).where(first))
+        land("params", params.where(arrived))
+        run()
+    return _digested(run())
+
+
 @query("align_rows", f"""WITH {ALIGNED}
 SELECT m.input_event, m.row_number, m."Timestamp", f.event_id AS frame_index,
        m.event_id AS motion_index

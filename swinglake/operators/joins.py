@@ -2,9 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FILTER_BITS = 1 << 26     # of a key filter: a million 64-bit words at most, some 16 MB
+
+
+def possible_matches(wide: DataFrame, keys: Sequence[str], narrow: DataFrame, narrow_keys: Sequence[str],
+                     bits: int = FILTER_BITS) -> DataFrame:
+    """``wide`` rows whose ``keys`` may be among those of ``narrow``; nearly all others are left out.
+
+    A Bloom filter with one hash goes to the scan of the wide rows, before they are shuffled.
+    It is made on Spark as 64-bit words of set bits, of which there are at most ``bits / 64``, so
+    what is broadcast is bounded whatever the number of keys; beyond some ten million keys
+    more and more rows pass that match nothing, which the join drops afterwards.
+    Both tables are batch tables; keys are compared as the types of ``wide``.
+    """
+    kinds = dict(wide.dtypes)
+
+    def slot(columns: Sequence[Column]) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(bits))
+
+    set_bits = narrow.select(slot([F.col(n).cast(kinds[k]) for k, n in zip(keys, narrow_keys)]).alias("_bit"))
+    words = set_bits.groupBy(F.expr("_bit div 64").alias("_word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_bit % 64 AS INT)))").alias("_mask"))
+    own = slot([F.col(k) for k in keys])
+    probed = wide.withColumn("_slot", own)
+    hit = (F.expr("_slot div 64") == words["_word"]) & F.expr("getbit(_mask, CAST(_slot % 64 AS INT)) = 1")
+    return probed.join(F.broadcast(words), hit, "left_semi").drop("_slot")
+
 
 def match_key_frames(key_frames: DataFrame, motion: DataFrame) -> DataFrame:
     """Key frames with the motion rows at the same rounded time of the same swing.

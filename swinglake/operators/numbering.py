@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -52,18 +53,56 @@ def file_offsets(files: DataFrame, key: str, index: bool) -> DataFrame:
 
 
 def with_file_numbers(rows: DataFrame, file_row: str = "file_row", key: str = "input_event",
-                      name: str = "row_number", index: str | None = None) -> DataFrame:
+                      name: str = "row_number", index: str | None = None,
+                      offsets: DataFrame | None = None) -> DataFrame:
     """Row numbers per key, in file order, out of each row's place in its file.
 
-    They depend on the files alone: not on the batches or runs the files came in, nor on
+    They depend on the files alone: not on the batches the files came in, nor on
     a batch that was run again.  ``index`` adds a dense 0-based index over all rows, by key and file.
     The table of files is read from storage, whose size decides whether it is broadcast.
+    ``offsets`` is such a table that was made before, see :func:`extend_ledger`.
     """
-    files = rows.groupBy(key, FILE).agg(F.max(file_row).cast("long").alias("_rows"))
-    offsets = staged(file_offsets(files, key, index is not None).drop(key, "_rows"), "file-offsets")
+    if offsets is None:
+        offsets = staged(file_offsets(_file_sizes(rows, file_row, key), key, index is not None).drop(key, "_rows"),
+                         "file-offsets")
     front = [(F.col("_all_before") + F.col(file_row) - 1).alias(index)] if index else []
     number = (F.col("_key_before") + F.col(file_row)).alias(name)
-    return rows.join(offsets, FILE).select(*front, *[number if c == file_row else F.col(c) for c in rows.columns])
+    wanted = offsets.select(FILE, "_key_before", *(["_all_before"] if index else []))
+    return rows.join(wanted, FILE).select(*front, *[number if c == file_row else F.col(c) for c in rows.columns])
+
+
+def _file_sizes(rows: DataFrame, file_row: str, key: str) -> DataFrame:
+    return rows.groupBy(key, FILE).agg(F.max(file_row).cast("long").alias("_rows"))
+
+
+def extend_ledger(rows: DataFrame, ledger: str, batch: str, file_row: str = "file_row",
+                  key: str = "input_event") -> DataFrame:
+    """Offsets of files in their order of arrival; those of earlier runs stay as they are.
+
+    ``rows`` has the number of its batch as a partition column.  The ledger is a folder with a
+    table for each run, named after the last batch it reaches to.  A run reads the batches after that only,
+    and lets their files, in order of key and path, follow all earlier ones: in the whole
+    table and within each key.  A run that failed before its table was whole does it again.
+    """
+    spark = rows.sparkSession
+    reached = rows.agg(F.max(batch)).first()[0]
+    kept = spark.createDataFrame([], f"{key} string, {FILE} string, _rows long, _key_before long, _all_before long, upto int")
+    try:
+        kept = spark.read.schema(kept.schema).parquet(ledger)
+    except AnalysisException as missing:      # the first run
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    last, total = kept.agg(F.max("upto"), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    if reached is not None and (last is None or reached > last):
+        new = rows if last is None else rows.where(F.col(batch) > last)
+        arrived = file_offsets(_file_sizes(new, file_row, key), key, True)
+        earlier = kept.groupBy(key).agg(F.sum("_rows").alias("_earlier"))
+        (arrived.join(earlier, key, "left")
+         .select(key, FILE, "_rows", (F.col("_key_before") + F.coalesce("_earlier", F.lit(0))).alias("_key_before"),
+                 (F.col("_all_before") + F.lit(total)).cast("long").alias("_all_before"))
+         .write.mode("overwrite").parquet(f"{ledger}/upto={reached}"))
+        kept = spark.read.schema(kept.schema).parquet(ledger)
+    return kept
 
 
 def number_in_file_order(df: DataFrame, key: str = "input_event", name: str = "row_number",

@@ -15,9 +15,10 @@ from swinglake.joints import (
     JOINTS, KEY_FRAME_NAMES, MASTER_JOINTS, MEASURES, TRACKER_MEASURES, key_frames_schema,
     map_column, pose_column,
 )
-from swinglake.operators.joins import align_frames, enrich, match_key_frames
+from swinglake.operators.joins import align_frames, enrich, match_key_frames, possible_matches
 from swinglake.operators.shaping import clean, pack_maps, rename_at
 from swinglake.operators.tables import read_merged
+from swinglake.session import scratch_dir, staged
 from swinglake.streaming.sinks import BATCH, read_batches, write_stream, write_stream_batches
 
 PARAMETERS = ("GamePK", "ID", "PlayID", "Weight")
@@ -81,13 +82,20 @@ def key_frames(motion: DataFrame, key_frame_lists: DataFrame, params: DataFrame,
 
     Parameters are joined to the one key-frame row of a swing, before it becomes
     17 rows and before the wide motion rows come in; being a left join on the
-    event the result is the same, and the wide rows are shuffled once.
+    event the result is the same, and the wide rows are shuffled once.  Of batch
+    tables only motion rows at the time of a key frame are shuffled: the narrow key
+    frames are made first and filter the scan of the wide rows.
     """
     lists = enrich(clean(key_frame_lists), clean_parameters(params))
     keep = ("input_event", *PARAMETERS)
     frames = explode_key_frames(key_frame_arrays(lists, *keep), *keep,
                                 drop_undetected=drop_undetected)
-    joined = match_key_frames(frames, timed_motion(motion))
+    poses = timed_motion(motion)
+    if not (frames.isStreaming or poses.isStreaming):
+        frames = staged(frames, "key-frames")
+        poses = possible_matches(poses, ("input_event", "TimestampRounded"),
+                                 frames, ("input_event", "KeyFrameIndicesAdjusted"))
+    joined = match_key_frames(frames, poses)
     names = {c.lower() for c in joined.columns}
     return joined.selectExpr(*[
         f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}"
@@ -136,14 +144,28 @@ def master(motion: DataFrame, frames: DataFrame, params: DataFrame,
     return packed(aligned(motion, frames, params, joints), joints)
 
 
+UPTO = ("motion_upto", "frames_upto")     # the batches of both feeds that a run reaches to
+LATE = "late"                             # 1: the run found no parameters for the row
+
+
+def _runs(*more: tuple[str, str]) -> StructType:
+    schema = StructType()
+    for name, kind in (*more, *((u, "integer") for u in UPTO)):
+        schema = schema.add(name, kind)
+    return schema
+
+
 def master_batch(motion: DataFrame, frames: DataFrame, params: DataFrame, table: str,
                  staging: str, joints: tuple[str, ...] = MASTER_JOINTS) -> DataFrame:
     """Drain both streams into tables, join what is new as batches, append to ``table``.
 
     A run joins its new motion rows with all tracker rows and the older motion rows
-    with its new tracker rows, so each pair is written once, whichever side came later.
+    with its new tracker rows, so each pair is written once, whichever side came later;
+    older motion rows are read by the keys of the new tracker rows.
     The rows go to a folder named after the batches they reach to: a run that failed is
     made up for by the next one, and a run with nothing new writes nothing.
+    Rows without parameters are kept apart and noted; see :func:`fill_late_parameters`,
+    which every run ends with.
     """
     spark = motion.sparkSession
     sides, upto = [], []
@@ -153,17 +175,59 @@ def master_batch(motion: DataFrame, frames: DataFrame, params: DataFrame, table:
         rows = read_batches(spark, at, StructType([*stream.schema.fields]), keep=BATCH)
         sides.append(rows)
         upto.append(rows.agg(F.coalesce(F.max(BATCH), F.lit(-1)).cast("int")).first()[0])
-    done = read_batches(spark, table, StructType().add("motion_upto", "integer").add("frames_upto", "integer"))
-    before = done.agg(*[F.coalesce(F.max(c), F.lit(-1)).cast("int") for c in ("motion_upto", "frames_upto")]).first()
+    done = read_batches(spark, table, _runs())
+    before = done.agg(*[F.coalesce(F.max(c), F.lit(-1)).cast("int") for c in UPTO]).first()
     if tuple(before) != tuple(upto):
         new_motion, old_motion = (sides[0].where(c).drop(BATCH) for c in (
             F.col(BATCH) > before[0], F.col(BATCH) <= before[0]))
         new_frames = sides[1].where(F.col(BATCH) > before[1]).drop(BATCH)
+        # noted before the rows are written: parameters that land in between are filled in needlessly, none is missed
+        events = new_motion.select("input_event").union(new_frames.select("input_event")).distinct()
+        without = events.join(clean_parameters(params).select("input_event"), "input_event", "left_anti")
+        run = f"motion_upto={upto[0]}/frames_upto={upto[1]}"
+        without.write.mode("overwrite").parquet(f"{staging}/without_parameters/{run}")
         rows = master(new_motion, sides[1].drop(BATCH), params, joints)
         if before[0] >= 0:
-            rows = rows.unionByName(master(old_motion, new_frames, params, joints))
-        rows.write.mode("overwrite").parquet(f"{table}/motion_upto={upto[0]}/frames_upto={upto[1]}")
-    return read_merged(spark, table).drop("motion_upto", "frames_upto")
+            place = ("input_event", "row_number")
+            rows = rows.unionByName(master(
+                possible_matches(old_motion, place, clean(new_frames).select(*place), place), new_frames, params, joints))
+        rows = _by_lateness(rows)
+        rows.write.mode("overwrite").partitionBy(LATE).parquet(f"{table}/{run}")
+        # a file without rows, so that the folder also tells of a run that joined nothing
+        spark.createDataFrame([], rows.drop(LATE).schema).write.mode("append").parquet(f"{table}/{run}/{LATE}=0")
+    fill_late_parameters(spark, params, table, staging)
+    return read_merged(spark, table).drop(*UPTO, LATE)
+
+
+def _by_lateness(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(LATE, F.coalesce(*[F.col(p).cast("string") for p in PARAMETERS]).isNull().cast("int"))
+
+
+def fill_late_parameters(spark: SparkSession, params: DataFrame, table: str, staging: str) -> int:
+    """Give rows of the master table the parameters that landed after them; returns for how many swings.
+
+    Swings that a run wrote without parameters are noted by it.  Those whose parameters are there by
+    now are looked up, and in the runs concerned only the rows that were late are read, filled and
+    put in place of the old ones, partition by partition.  Then the swings are noted as filled, so a
+    call with nothing new reads two narrow tables and writes nothing, and one that failed is repeated.
+    """
+    noted = read_batches(spark, f"{staging}/without_parameters", _runs(("input_event", "string")))
+    filled = read_batches(spark, f"{staging}/filled_parameters", _runs(("input_event", "string")))
+    arrived = clean_parameters(params)
+    due = staged(noted.join(filled, ["input_event", *UPTO], "left_anti").join(
+        arrived.select("input_event"), "input_event", "left_semi"), "due-parameters")
+    swings = due.select("input_event").distinct().count()
+    if swings:
+        runs = due.select(*UPTO).distinct()      # a row per run; it prunes the partitions that are read
+        late = read_merged(spark, table).where(F.col(LATE) == 1).join(F.broadcast(runs), list(UPTO), "left_semi")
+        columns = late.columns
+        empty = F.coalesce(*[F.col(p).cast("string") for p in PARAMETERS]).isNull()
+        found = enrich(late.where(empty).drop(*PARAMETERS), arrived)
+        rows = staged(found.select(*columns).unionByName(late.where(~empty)), "filled-rows")
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*UPTO, LATE).parquet(table))
+        due.write.mode("append").parquet(f"{staging}/filled_parameters")
+    return swings
 
 
 # --- published streams -----------------------------------------------------

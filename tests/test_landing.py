@@ -150,6 +150,30 @@ def test_landing_tree_to_bronze(spark, tmp_path):
     assert (tmp_path / "lake/bronze/batting_motion_test").exists()
 
 
+def test_numbers_stay_when_files_come_late(spark, tmp_path):
+    lake = Lake(f"{tmp_path}/lake", f"{tmp_path}/landing")
+    place = f"landing/all_games/game1/batting/{EVENT}"
+    schema = StructType.fromDDL("t int")
+
+    def run():
+        rows = ingest_csv(spark, lake, "m", "batting", " ", schema, files=f"{tmp_path}/landing/all_games/*/batting/*/*.csv")
+        return {r["t"]: (r["row_number"], r["row_index"]) for r in rows.collect()}
+
+    assert run() == {}
+    put(tmp_path, f"{place.format(2)}/b.csv", "t\n1\n2\n3\n")
+    first = run()
+    assert first == {1: (1, 0), 2: (2, 1), 3: (3, 2)}
+    put(tmp_path, f"{place.format(2)}/a.csv", "t\n4\n5\n")       # sorts before the file that is there
+    put(tmp_path, f"{place.format(1)}/z.csv", "t\n6\n")          # and so does this event
+    second = run()
+    assert second == {**first, 6: (1, 3), 4: (4, 4), 5: (5, 5)}
+    written = sorted(p.name for p in (tmp_path / "lake/_ledgers/bronze/batting_m").iterdir())
+    assert run() == second
+    assert sorted(p.name for p in (tmp_path / "lake/_ledgers/bronze/batting_m").iterdir()) == written
+    put(tmp_path, f"{place.format(2)}/aa.csv", "t\n7\n")
+    assert run() == {**second, 7: (6, 6)}
+
+
 def test_plain_readers(spark, tmp_path):
     put(tmp_path, "d/x.csv", "a b\n1 2\n")
     put(tmp_path, "d/y.txt", "one\ntwo\n")

@@ -7,7 +7,7 @@ from swinglake.joints import (
     JOINTS, KEY_FRAME_NAMES, MASTER_JOINTS, MEASURES, TRACKER_SLOTS, key_frames_schema, map_keys,
     master_schema, motion_schema, pose_column, tracker_slots,
 )
-from swinglake.operators.joins import align_frames, enrich
+from swinglake.operators.joins import align_frames, enrich, possible_matches
 from swinglake.operators.shaping import clean, pack_maps, pose_columns, spread_tracker
 from swinglake.plans import silver
 from swinglake.sources.files import stream_table
@@ -147,6 +147,78 @@ def test_master(spark, bronze, tmp_path):
     same(silver.publish(spark, few, f"{tmp_path}/t", f"{tmp_path}/c"), silver.master(*feeds, joints))
 
 
+def rows_through_exchanges(df, column: str) -> list[int]:
+    """Rows written by the exchanges that carry ``column``, once ``df`` has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    found, todo = [], [plan.executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "Exchange" and column in node.outputPartitioning().toString() + node.child().output().mkString(","):
+            found.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in name:
+            todo.append(node.plan())
+    return found
+
+
+def test_only_matched_wide_rows_are_shuffled(spark):
+    from swinglake.catalog import fixtures as fx
+    b = fx.bronze(spark, "/root/testdata/sf0.01")
+    read = spark.read.parquet
+    hints = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    try:
+        for h in hints:
+            spark.conf.set(h, -1)
+        table = silver.key_frames(read(b.motion), read(b.key_frames), read(b.params))
+        moved = rows_through_exchanges(table, "Hips_R11")
+    finally:
+        for h in hints:
+            spark.conf.unset(h)
+    matched = table.select("input_event", "TimestampRounded").distinct().count()
+    assert len(moved) == 1 and matched <= moved[0] <= 1.01 * matched < read(b.motion).count() / 2
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 26])
+def test_no_match_is_filtered_out(spark, bits):
+    """Whatever the size of the filter; a small one only lets more pass."""
+    wide = spark.range(5000).select((F.col("id") % 700).cast("int").alias("a"), F.col("id").cast("string").alias("b"))
+    narrow = spark.range(0, 5000, 50).select((F.col("id") % 700).alias("k"), F.col("id").cast("string").alias("l"))
+    passed = possible_matches(wide, ("a", "b"), narrow, ("k", "l"), bits)
+    want = wide.join(narrow, (F.col("a") == F.col("k")) & (F.col("b") == F.col("l")), "left_semi")
+    assert want.count() == 100 and want.exceptAll(passed).count() == 0
+    assert passed.columns == ["a", "b"] and (bits < 1 << 26 or passed.count() == 100)
+
+
+def test_late_parameters_are_filled_in(spark, bronze, tmp_path):
+    read, feeds = spark.read.parquet, {n: f"{bronze}/{n}" for n in ("motion", "frames", "params")}
+    table, staging, some = f"{tmp_path}/t", f"{tmp_path}/s", ("hips",)
+    events = sorted(r[0] for r in read(feeds["params"]).select("input_event").distinct().collect())
+
+    def run(params):
+        return silver.master_batch(stream_table(spark, feeds["motion"]), stream_table(spark, feeds["frames"]),
+                                   params, table, staging, some)
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("part-*")}
+
+    def compared(rows):
+        return rows.withColumn("hips_zip", F.to_json("hips_zip"))
+
+    known = read(feeds["params"]).where(F.col("input_event") == events[0])
+    same(compared(run(known)), compared(silver.master(read(feeds["motion"]), read(feeds["frames"]), known, some)))
+    before = files()
+    assert any("late=1" in f for f in before)
+    same(compared(run(read(feeds["params"]))),
+         compared(silver.master(*[read(feeds[n]) for n in ("motion", "frames", "params")], some)))
+    after = files()
+    assert {f: t for f, t in before.items() if "late=0" in f}.items() <= after.items()      # what was complete is untouched
+    run(read(feeds["params"]))
+    assert files() == after and silver.fill_late_parameters(spark, read(feeds["params"]), table, staging) == 0
+
+
 def test_maps_from_spread_columns(spark, bronze):
     """Spreading to 75 columns and packing gives what the pipeline packs from arrays."""
     read = spark.read.parquet
