@@ -9,11 +9,13 @@ from swinglake.catalog import fixtures as fx
 from swinglake.catalog.registry import query
 from swinglake.joints import key_frames_schema, master_schema
 from swinglake.operators.profile import event_count, profile_columns, profile_tables, row_count, summarize
-from swinglake.operators.tables import append_merge, compact, ensure_layers, ensure_table
+from swinglake.operators.tables import (
+    append_merge, compact, compact_small, ensure_layers, ensure_table, files_of, read_current,
+)
 from swinglake.plans import silver
 from swinglake.plans.validate import validate
-from swinglake.session import scratch_dir
-from swinglake.sources.files import read_table
+from swinglake.session import scratch_dir, staged
+from swinglake.sources.files import list_files, read_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -137,6 +139,51 @@ def compact_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", F.lit(apart).alias("apart"))
 
 
+_CURVE_KEYS = ("o_orderkey", "o_custkey", "o_orderdate")
+
+
+@query("compact_curve", """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice,
+  true AS skips_o_orderkey, true AS skips_o_custkey, true AS skips_o_orderdate FROM orders""")
+def compact_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compaction along a curve through three keys; of each, whether a filter on one of its values would
+    read at most a third of the files on average, by the files' least and largest values."""
+    orders = fx.table(spark, sf_dir, "orders").select(*_CURVE_KEYS, "o_totalprice")
+    at = scratch_dir(spark, "compact-curve")
+    orders.repartition("o_totalprice").write.parquet(f"{at}/scattered")
+    size = list_files(spark, f"{at}/scattered").agg(F.sum("length")).first()[0]
+    table = compact(spark, f"{at}/scattered", f"{at}/compact", _CURVE_KEYS, file_bytes=-(-size // 128), curve=True)
+    files = staged(table.groupBy(F.input_file_name().alias("file")).agg(
+        *[f(c).alias(f"{c}_{f.__name__}") for c in _CURVE_KEYS for f in (F.min, F.max)]), "file-ranges")
+    n, share = files.count(), {}
+    for c in _CURVE_KEYS:
+        # a row per file on one side
+        values = table.select(c).distinct()
+        read = values.join(F.broadcast(files), F.col(c).between(F.col(f"{c}_min"), F.col(f"{c}_max"))).count()
+        share[c] = read / max(values.count(), 1) / n <= 1 / 3
+    return table.withColumns({f"skips_{c}": F.lit(ok) for c, ok in share.items()})
+
+
+@query("packed_files", """SELECT o_orderkey, o_custkey,
+  CASE WHEN o_orderkey % 7 = 1 THEN o_orderpriority END AS o_orderpriority, true AS packed FROM orders""")
+def packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of large and small files whose small ones are packed, with rows appended afterwards;
+    whether that left large files alone, and a second run all files."""
+    orders, at = fx.table(spark, sf_dir, "orders"), scratch_dir(spark, "packed-files")
+    for part in range(1, 6):
+        rows = orders.where(f"o_orderkey % 7 = {part}").select(
+            "o_orderkey", "o_custkey", *(["o_orderpriority"] if part == 1 else []))
+        rows.repartition(4, "o_custkey").write.mode("append").parquet(at)
+    orders.where("o_orderkey % 7 = 0").select("o_orderkey", "o_custkey").coalesce(1).write.mode("append").parquet(at)
+    limit = list_files(spark, at, "*.parquet").agg(F.max("length")).first()[0] * 2
+    before = staged(files_of(spark, at), "before")
+    rewritten, again = compact_small(spark, at, limit), compact_small(spark, at, limit)
+    small = before.where(F.col("length") * 2 < limit)
+    kept = files_of(spark, at).join(before, ["path"], "left_semi").count()
+    packed = rewritten == small.count() > 1 and again == 0 and kept == before.count() - rewritten
+    orders.where("o_orderkey % 7 = 6").select("o_orderkey", "o_custkey").write.mode("append").parquet(at)
+    return read_current(spark, at).select("o_orderkey", "o_custkey", "o_orderpriority", F.lit(packed).alias("packed"))
+
+
 LAYERS_SQL = f"""WITH {fx.EV}, {fx.KEY_FRAMES}, {fx.PARAMS}
 SELECT 'bronze' AS layer, 'batting_batter_parameter_set' AS "table",
   (SELECT count(*) FROM params) AS n_rows, (SELECT count(*) FROM params) AS n_events

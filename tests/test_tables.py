@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from swinglake.joints import key_frames_schema, master_schema
 from swinglake.operators.profile import event_count, profile_layer, row_count, stage_counts, summarize
-from swinglake.operators.tables import append_merge, compact, ensure_layers, ensure_table
+from swinglake.operators.tables import (
+    append_merge, compact, compact_small, ensure_layers, ensure_table, files_of, read_current,
+)
 from swinglake.plans.validate import validate
 from swinglake.sources.files import list_files, read_table, stream_table
 from swinglake.streaming import write_stream
@@ -75,3 +77,39 @@ def test_streams_between_catalog_tables(spark, tmp_path):
     spark.range(7, 8).write.insertInto(f"{name}.source")
     write_stream(stream_table(spark, f"{name}.source"), f"{name}.target", f"{tmp_path}/checkpoint")
     assert read_table(spark, f"{name}.target").count() == 4
+
+
+def test_curve_skips_files_by_every_key(spark, tmp_path):
+    """A key with a third of the rows, nulls, and a text key."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.xxhash64("id") % 1000).alias("ID"),
+        F.when(F.col("id") % 11 != 0, F.xxhash64("id", F.lit(1)) % 1000).alias("GamePK"),
+        F.md5(F.col("id").cast("string")).alias("PlayID"), F.rand(3).alias("x"))
+    rows.write.parquet(f"{tmp_path}/in")
+    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("part-*"))
+    out = compact(spark, f"{tmp_path}/in", f"{tmp_path}/out", file_bytes=size // 120, curve=True)
+    assert out.exceptAll(spark.read.parquet(f"{tmp_path}/in")).count() == 0 and out.count() == 30_000
+    files = out.groupBy(F.input_file_name().alias("f")).agg(
+        F.count("*").alias("n"), *[g(c).alias(f"{c}_{g.__name__}") for c in ("ID", "GamePK", "PlayID") for g in (F.min, F.max)]).collect()
+    assert len(files) >= 100 and max(f["n"] for f in files) < 30_000 / 20
+    for key, value in (("ID", 300), ("GamePK", -200), ("PlayID", "8")):
+        assert sum(f[f"{key}_min"] is not None and f[f"{key}_min"] <= value <= f[f"{key}_max"] for f in files) <= len(files) / 3
+
+
+def test_small_files_are_packed_once(spark, tmp_path):
+    table = f"{tmp_path}/some table"
+    for i in range(6):
+        spark.range(i * 10, i * 10 + 10).withColumn(f"c{i % 2}", F.lit(i)).coalesce(1).write.mode("append").parquet(table)
+    spark.range(100, 50_000).withColumn("c0", F.rand()).select("id", F.lit(None).cast("int").alias("c0")).coalesce(1).write.mode(
+        "append").parquet(table)
+    lengths = sorted(r["length"] for r in files_of(spark, table).collect())
+    large = [r["path"] for r in files_of(spark, table).collect() if r["length"] == lengths[-1]]
+    want = sorted(map(tuple, read_current(spark, table).select("id", "c0", "c1").collect()), key=str)
+    limit = sum(lengths[:3]) + 1
+    assert lengths[-1] > limit and compact_small(spark, table, limit) == 6
+    now = {r["path"] for r in files_of(spark, table).collect()}
+    assert len(now) == 3 and set(large) < now
+    assert compact_small(spark, table, limit) == 0 and {r["path"] for r in files_of(spark, table).collect()} == now
+    assert sorted(map(tuple, read_current(spark, table).select("id", "c0", "c1").collect()), key=str) == want
+    spark.range(-5, 0).coalesce(1).write.mode("append").parquet(table)
+    assert read_current(spark, table).count() == len(want) + 5
