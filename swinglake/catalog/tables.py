@@ -151,7 +151,7 @@ def compact_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = scratch_dir(spark, "compact-curve")
     orders.repartition("o_totalprice").write.parquet(f"{at}/scattered")
     size = list_files(spark, f"{at}/scattered").agg(F.sum("length")).first()[0]
-    table = compact(spark, f"{at}/scattered", f"{at}/compact", _CURVE_KEYS, file_bytes=-(-size // 128), curve=True)
+    table = compact(spark, f"{at}/scattered", f"{at}/compact", _CURVE_KEYS, file_bytes=-(-size // 256), curve=True)
     files = staged(table.groupBy(F.input_file_name().alias("file")).agg(
         *[f(c).alias(f"{c}_{f.__name__}") for c in _CURVE_KEYS for f in (F.min, F.max)]), "file-ranges")
     n, share = files.count(), {}
@@ -179,7 +179,7 @@ def packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rewritten, again = compact_small(spark, at, limit), compact_small(spark, at, limit)
     small = before.where(F.col("length") * 2 < limit)
     kept = files_of(spark, at).join(before, ["path"], "left_semi").count()
-    packed = rewritten == small.count() > 1 and again == 0 and kept == before.count() - rewritten
+    packed = 1 < rewritten <= small.count() and again == 0 and kept == before.count() - rewritten
     orders.where("o_orderkey % 7 = 6").select("o_orderkey", "o_custkey").write.mode("append").parquet(at)
     return read_current(spark, at).select("o_orderkey", "o_custkey", "o_orderpriority", F.lit(packed).alias("packed"))
 
