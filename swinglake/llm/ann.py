@@ -67,13 +67,15 @@ class MultiIndex:
 
     def __init__(self, first: np.ndarray, second: np.ndarray):
         self.first, self.second, self.half = first, second, first.shape[1]
-        self.weight = np.zeros(len(first) * len(second), dtype=np.int64)
+        self.weight = np.zeros(len(first) * len(second), dtype=np.int64)     # distinct vectors of each cell
+        self.rows = np.zeros_like(self.weight)
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         return nearest(x[:, :self.half], self.first) * len(self.second) + nearest(x[:, self.half:], self.second)
 
-    def visit(self, q: np.ndarray, wanted: float) -> Iterator[int]:
-        """Cells by summed distance to both centroids until their vectors reach ``wanted``.
+    def visit(self, q: np.ndarray, wanted: float, least: int = 0) -> Iterator[int]:
+        """Cells by summed distance to both centroids until their distinct vectors reach ``wanted``
+        and their rows ``least``.
 
         Distance is the negative inner product.  The heap holds the pairs next to those
         taken: (i, j) enters once its neighbours before it in both orders are out.
@@ -82,13 +84,14 @@ class MultiIndex:
         order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
         a, b = a[order_a].tolist(), b[order_b].tolist()
         taken = [0] * len(a)          # of row i, pairs taken so far
-        heap, met = [(a[0] + b[0], 0, 0)], 0
-        while heap and met < wanted:
+        heap, met, rows = [(a[0] + b[0], 0, 0)], 0, 0
+        while heap and (met < wanted or rows < least):
             _, i, j = heapq.heappop(heap)
             taken[i] = j + 1
             cell = int(order_a[i]) * len(b) + int(order_b[j])
             if self.weight[cell]:
                 met += int(self.weight[cell])
+                rows += int(self.rows[cell])
                 yield cell
             if i + 1 < len(a) and taken[i + 1] == j:
                 heapq.heappush(heap, (a[i + 1] + b[j], i + 1, j))
@@ -150,7 +153,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, share: float = SHAR
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found, ties to the smaller id.
 
     ``rows`` and ``queries`` have ``vec_id`` and ``embedding``.  A query's own id is no candidate.  Of
-    repeated queries one counts; repeated rows are candidates each.
+    repeated queries one counts; repeated rows are candidates each.  A query visits cells until they
+    hold ``share`` of the distinct vectors and ``k`` rows besides its own, or all cells.
     """
     spark = rows.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -169,7 +173,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, share: float = SHAR
     held = (placed.groupBy("cell", F.xxhash64("v").alias("h")).agg(F.count("*").alias("n"))
             .groupBy("cell").agg(F.count("*").alias("distinct"), F.sum("n").alias("n")).collect())
     for r in held:
-        index.weight[r["cell"]] = r["distinct"]
+        index.weight[r["cell"]], index.rows[r["cell"]] = r["distinct"], r["n"]
     first, pieces = _parts(index, {r["cell"]: r["n"] for r in held})
     layout = spark.createDataFrame([(c, int(first[c]), int(pieces[c])) for c in range(len(first))],
                                    "cell int, first int, pieces int")
@@ -180,7 +184,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, share: float = SHAR
             out = []
             for query, v, block in frame.itertuples(index=False):
                 by_part: dict[int, list[int]] = {}
-                for cell in index.visit(np.asarray(v), wanted):
+                for cell in index.visit(np.asarray(v), wanted, k + 1):
                     for piece in range(pieces[cell]):
                         by_part.setdefault(int(first[cell]) + piece, []).append(cell)
                 out += [(query, v, block, part, cells) for part, cells in by_part.items()]

@@ -58,6 +58,16 @@ def test_ties_copies_and_unusable_vectors(spark, monkeypatch):
     assert ann.search(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_no_query_has_fewer_neighbours_than_there_are(spark):
+    """With the default share, of 5, 10, 21 and 30 vectors."""
+    rnd = np.random.default_rng(2)
+    for n in (5, 10, 21, 30):
+        rows = [(i, [float(a) for a in v]) for i, v in enumerate(rnd.normal(size=(n, 8)))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = ann.search(df, df.where("vec_id % 4 = 0")).groupBy("query_id").count().collect()
+        assert {r["count"] for r in found} == {min(n - 1, 20)} and len(found) == -(-n // 4)
+
+
 def _luhn(digits: str) -> bool:
     twice = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
     return sum(t - 9 if t > 9 else t for t in twice) % 10 == 0
