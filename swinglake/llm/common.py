@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,15 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def give_back() -> None:
+    """Hand memory that a Python worker has freed back to the system; workers are used again by
+    later stages, and what one stage needed would otherwise count beside the needs of the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def free_names(taken: Iterable[str], *stems: str) -> list[str]:
     """Column names made of ``stems`` that clash with none of ``taken``, whatever their case."""
     used, out = {c.lower() for c in taken}, []

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swinglake.llm.common import give_back
+
 BLOCK_BYTES = 8 << 20     # text in a block
 BUCKET_KEYS = 1_500_000   # keys that a bucket is asked for, about
 WORD_BYTES = 6            # of text per word, for the number of buckets only
@@ -68,12 +70,13 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
 
     def ask(frame: pd.DataFrame) -> pd.DataFrame:
         distinct, counts = keys(frame)
-        cuts = [0, *np.searchsorted(distinct, edges), len(distinct)]
+        cuts = np.concatenate([[0], np.searchsorted(distinct, edges), [len(distinct)]])
         rows = []
-        for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if a < b:
-                steps = np.diff(distinct[a:b], prepend=np.uint64(0))
-                rows.append((bucket, frame["block"].iat[0], _planes(steps), _planes(counts[a:b].astype("<u4"))))
+        for bucket in np.flatnonzero(cuts[:-1] < cuts[1:]).tolist():
+            a, b = cuts[bucket], cuts[bucket + 1]
+            steps = np.diff(distinct[a:b], prepend=np.uint64(0))
+            rows.append((bucket, frame["block"].iat[0], _planes(steps), _planes(counts[a:b].astype("<u4"))))
+        give_back()
         return pd.DataFrame(rows, columns=["bucket", "block", "keys", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -81,14 +84,16 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
         every = np.concatenate(parts)
         distinct, place = np.unique(every, return_inverse=True)
         counts = np.concatenate([_values(c, "<u4") for c in frame["counts"]])
-        total = np.bincount(place, weights=counts, minlength=len(distinct))
-        answer = np.minimum(total, 2 ** 32 - 1).astype("<u4")[place]
+        total = np.zeros(len(distinct), np.uint64)
+        np.add.at(total, place, counts.astype(np.uint64))
+        answer = total.astype("<u8")[place]
         ends = np.cumsum([len(p) for p in parts])
         out = pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
                             "totals": [_planes(a) for a in np.split(answer, ends[:-1])]})
         if tally is not None:
             for i, number in enumerate(tally(distinct, total)):
                 out.loc[len(out)] = (-1 - i, frame["bucket"].iat[0], int(number).to_bytes(8))
+        give_back()
         return out
 
     asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, block int, keys binary, counts binary")
@@ -98,7 +103,7 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
 def answers(frame: pd.DataFrame) -> np.ndarray:
     """Totals of a block's keys, in the order of the sorted keys, from its rows of ``totals``."""
     parts: Iterable[bytes] = frame.sort_values("bucket")["totals"]
-    return np.concatenate([np.empty(0, "<u4"), *(_values(p, "<u4") for p in parts)]).astype(np.int64)
+    return np.concatenate([np.empty(0, "<u8"), *(_values(p, "<u8") for p in parts)]).astype(np.int64)
 
 
 def tallied(counted: DataFrame, numbers: int) -> list[int]:

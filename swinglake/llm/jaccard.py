@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swinglake.llm.common import lower_ascii, staged
+from swinglake.llm.common import free_names, give_back, lower_ascii, staged
 from swinglake.llm.components import components
 from swinglake.llm.counts import answers, block_of, layout, totals
 
@@ -32,14 +32,22 @@ WORDS = 5
 PERCENT = 80
 FANOUT = 16
 PIECE = 1_000     # texts of a group that one task joins, or one side of a pair of pieces
+CACHE_BYTES = 40 << 20
+BLOCK_BYTES = 6 << 20     # of text that one task compares with the corpus counts
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = (np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7))
 
 
 class _WordHashes(dict):
+    """Hashes of words, kept up to a number of bytes."""
+
+    held = 0
+
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        self.held += 200 + len(word)      # with the number and their place in the table
+        if self.held > CACHE_BYTES:
             self.clear()
+            self.held = 0
         value = self[word] = xxhash.xxh64_intdigest(word.encode())
         return value
 
@@ -192,6 +200,8 @@ def _group_edges(frame: pd.DataFrame) -> pd.DataFrame:
     side = frame["side"].to_numpy()
     tree_join(sets, forest, np.flatnonzero(side == 0).tolist(), np.flatnonzero(side == 1).tolist() or None)
     keys = frame["key"]
+    del sets
+    give_back()
     return pd.DataFrame([(keys[i], keys[r]) for i in first if (r := forest.root(i)) != i], columns=["u", "v"])
 
 
@@ -225,12 +235,13 @@ def _with_rare_shingles(texts: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFr
     In order of corpus counts, a partner shares one of the first ``n - ceil(0.8 n) + 1``.
     """
     keys, sets = _block_sets(texts)
-    distinct, in_corpus = np.unique(np.concatenate([np.empty(0, np.uint64), *sets])), answers(counted)
-    rows = []
-    for key, s in zip(keys, sets):
+    place = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True)[1]
+    every, rows = answers(counted)[place], []
+    ends = np.cumsum([len(s) for s in sets]).tolist()
+    for key, s, end in zip(keys, sets, ends):
         n, row = len(s), (key, len(s), None, None, None)
         if n:
-            count = in_corpus[np.searchsorted(distinct, s)]
+            count = every[end - n:end]
             first = n - -(-PERCENT * n // 100) + 1
             if (count == 1).sum() < first:
                 rare = np.lexsort((s, count))[:first]
@@ -238,6 +249,8 @@ def _with_rare_shingles(texts: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFr
                 least = [int(_scrambled(s ^ seed).min().view(np.int64)) for seed in _SEEDS]
                 row = (key, n, s.tobytes(), least, shared.view(np.int64).tolist())
         rows.append(row)
+    del sets, place, every
+    give_back()
     return pd.DataFrame(rows, columns=["key", "n", "shingles", "least", "shared"])
 
 
@@ -261,7 +274,7 @@ def text_components(docs: DataFrame) -> DataFrame:
 
     ``docs`` has ``text``, and ``_key`` and ``_normal`` of ``normal_text``.
     """
-    at = layout(docs)
+    at = layout(docs, block_bytes=BLOCK_BYTES)
     texts = (docs.select(F.col("_key").alias("key"), F.col("_normal").alias("normal"))
              .mapInPandas(_first_of_task, "key string, normal string")
              .withColumn("block", block_of(F.xxhash64("key"), at)).repartition(at.blocks, "block"))
@@ -315,14 +328,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component, that of the least doc_id; texts without words all stay."""
-    named = normal_text(docs).withColumn(
-        "_name", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_key"))
+    """``docs`` with one row of each component, that of the least doc_id; texts without words all stay.
+
+    Of the rows with that id the one with the least content hash stays, a null id comes last, and of
+    rows that repeat each other one stays.  Columns keep their names and values, whatever they are called.
+
+    The row to stay is found by id and hashes alone.  Documents then meet a narrow table
+    of those, and only rows that were there several times are grouped.
+    """
+    id_, content_, copies = free_names(docs.columns, "id", "content", "copies")
+    content = F.xxhash64("text")
+    named = normal_text(docs.select("doc_id", "text"))
     texts = staged(text_components(named), "texts")
-    members = named.select("doc_id", F.col("_key").alias("key"), "_name")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_name"))
-    least = members.groupBy("key").agg(best.alias("_best")).join(texts.where("n > 0"), "key")
-    winners = staged(least.groupBy("component").agg(F.min("_best").alias("_best")).select("_best._name"), "winners")
-    kept = named.where("_normal <> ''").join(winners, "_name").groupBy("_name").agg(
-        F.first(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return kept.union(named.where("_normal = ''").select(*docs.columns))
+    members = named.select("doc_id", content.alias("content"), F.col("_key").alias("key"))
+    alike = members.groupBy("key", "doc_id", "content").agg(F.count("*").alias("copies"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "copies"))
+    least = alike.groupBy("key").agg(best.alias("best")).join(texts.where("n > 0"), "key")
+    stay = staged(least.groupBy("component").agg(F.min("best").alias("best")).select(
+        F.col("best.doc_id").alias(id_), F.col("best.content").alias(content_), F.col("best.copies").alias(copies)), "stay")
+    wordless = ~F.coalesce("text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    met = docs.where(~wordless).join(stay, F.col("doc_id").eqNullSafe(F.col(id_)) & (content == F.col(content_)))
+    several = met.where(F.col(copies) > 1).groupBy(id_, content_).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(copies)).select(f"{copies}.*")
+    return met.where(F.col(copies) == 1).select(*docs.columns).union(several).union(docs.where(wordless))

@@ -60,7 +60,7 @@ def _corpus(n: int) -> list[tuple[int, str]]:
 @pytest.mark.parametrize("piece", [1000, 7])
 def test_components_are_those_of_all_pairs(spark, monkeypatch, piece):
     monkeypatch.setattr(jaccard, "PIECE", piece)
-    monkeypatch.setattr(counts, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 20_000)
     rows = _corpus(400)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(map(tuple, jaccard.near_duplicates(df).collect()))
@@ -83,6 +83,30 @@ def test_awkward_rows(spark):
     assert jaccard.one_of_each(nothing(spark)).count() == 0
 
 
+def test_one_of_each_leaves_columns_alone(spark):
+    rows = [(1, "a b c", "x"), (1, "a b c", "x"), (1, "a  b c", "y"), (2, "A B c", "z"), (3, "", "w"), (None, "a b c", "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string").withColumns(
+        {c: F.col("_key") for c in ("_normal", "_id", "_copies", "content", "key")})
+    kept = sorted(map(tuple, jaccard.one_of_each(docs).collect()))
+    assert [r[0] for r in kept] == [1, 3] and all(set(r[2:]) == {r[2]} for r in kept) and kept[1][2] == "w"
+
+
+def test_counts_beyond_32_bits(spark):
+    """Two blocks with three thousand million of a key each; some buckets hold no key."""
+    keys = jaccard.np.array([5, 1 << 63], dtype="u8")
+
+    def block_keys(frame):
+        return keys, jaccard.np.array([3_000_000_000, 1], dtype="i8")
+
+    at = counts.Layout(2, 7)
+    blocks = spark.createDataFrame([(0,), (1,)], "block int")
+    counted = counts.totals(blocks, block_keys, at, lambda distinct, total: [int(total.sum())])
+    frame = counted.toPandas()
+    for block in (0, 1):
+        assert counts.answers(frame[frame["block"] == block]).tolist() == [6_000_000_000, 2]
+    assert counts.tallied(counted, 1) == [6_000_000_002]
+
+
 def test_bounds_never_lose_a_pair():
     rnd = random.Random(4)
     base = [rnd.getrandbits(64) for _ in range(300)]
