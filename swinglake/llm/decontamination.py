@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swinglake.llm.common import give_back
+
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7       # of an item's own score
 OVERLAP = 0.6         # of the n-grams of question and answer, or of an item without an answer
@@ -252,6 +254,7 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
                     [batch.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int64()),
                      *(pa.array(c, pa.float64()) for c in columns[2:])],
                     names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+            give_back()
         part = docs.select("doc_id", "text").mapInArrow(find, schema)
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
@@ -267,5 +270,6 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = T
                 mask = np.ones(len(batch), dtype=bool)
                 mask[[h[0] for h in hits(index, batch.column(at).to_pylist(), threshold, least)]] = False
                 yield batch.filter(pa.array(mask))
+            give_back()
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

@@ -43,11 +43,14 @@ class _WordHashes(dict):
 
     held = 0
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
     def __missing__(self, word: str) -> int:
         self.held += 200 + len(word)      # with the number and their place in the table
         if self.held > CACHE_BYTES:
-            self.clear()
-            self.held = 0
+            self.forget()
         value = self[word] = xxhash.xxh64_intdigest(word.encode())
         return value
 
@@ -250,6 +253,7 @@ def _with_rare_shingles(texts: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFr
                 row = (key, n, s.tobytes(), least, shared.view(np.int64).tolist())
         rows.append(row)
     del sets, place, every
+    _hashes.forget()
     give_back()
     return pd.DataFrame(rows, columns=["key", "n", "shingles", "least", "shared"])
 

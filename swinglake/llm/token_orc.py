@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from swinglake.llm.common import give_back
+
 END_ID = 1
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -29,7 +31,7 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 _PUNCTUATION = ".,;:!?"
-_CACHE = 700_000      # entries; bounds a worker's memory, not what is encoded
+_CACHE = 400_000      # entries; bounds a worker's memory, not what is encoded
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _MARKS = frozenset("ªº")      # letters by name only
 _plain = re.compile("[a-zß-öø-ÿ]+").fullmatch      # lower-case letters, composed as they are
@@ -77,6 +79,11 @@ class WordEncoder(dict):
             self.pieces[piece] = known
         return known
 
+    def forget(self) -> None:
+        """Drop what is kept of words; a worker does other work after a task."""
+        self.clear()
+        self.pieces.clear()
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= _CACHE:
             self.clear()
@@ -132,6 +139,8 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(first, at - first), shards.slice(first, at - first), pa.array(starts),
                      pa.array(counts), lists], names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
+        words.forget()
+        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     return ordered.mapInArrow(encode, f"doc_id {kind}, shard int, shard_start long, n_tokens long, ids array<int>")

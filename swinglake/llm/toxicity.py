@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swinglake.llm.common import staged
+from swinglake.llm.common import give_back, staged
 
 MAX_TRAIN = 20_000
 FEATURES = 1_500      # per category, those that tell most
@@ -259,6 +259,7 @@ def scores(docs: DataFrame, chain: Chain) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array([g[i] for g in got], pa.float64()) for i in range(k))],
                 names=["doc_id", *(f"p_{c}" for c in chain.names)])
+        give_back()
 
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}" + "".join(f", `p_{c}` double" for c in chain.names)
     return docs.select("doc_id", "text").mapInArrow(score, schema)
@@ -272,6 +273,7 @@ def without_toxic(docs: DataFrame, chain: Chain, category: str = "toxic", thresh
         for batch in batches:
             yield batch.filter(pa.array([chain.probabilities(t.as_py())[c] < threshold for t in batch.column(at)],
                                         pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
 
