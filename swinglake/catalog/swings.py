@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from swinglake.catalog.motion import KEYED, key_frames
 from swinglake.catalog.registry import query
 from swinglake.joints import JOINTS, MEASURES, NON_BODY_JOINTS
 from swinglake.operators.swings import (
-    cluster_points, elbow, fit_clusters, kmeans_sweep, label_clusters, pca_scores, silhouette,
+    cluster_points, elbow, fit_clusters, fit_sweep, kmeans_sweep, label_clusters, pca_scores, silhouette,
     standardize, swing_features,
 )
 from swinglake.plans.clusters import fit_swing_model, label_swings, scored, swing_clusters
@@ -89,16 +90,35 @@ def component_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("n_rows", "total", falling.alias("ordered"), "centred")
 
 
-@query("kmeans_sweep", """SELECT k::INTEGER AS k, CASE WHEN k = 1 THEN (SELECT count(*) FROM embeddings) * 64 END AS total,
-  true AS falls FROM range(1, 21) t(k)""")
+@query("kmeans_sweep", """SELECT k::INTEGER AS k, (SELECT count(*) FROM embeddings) AS n_rows, k AS n_clusters,
+  CASE WHEN k = 1 THEN (SELECT count(*) FROM embeddings) * 64 END AS total,
+  true AS costed, true AS falls FROM range(1, 21) t(k)""")
 def cost_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sweep over all standardized features: one cluster costs a unit per row and
-    feature, and every further number of clusters costs less than one does."""
-    sweep = elbow(kmeans_sweep(staged(standardize(_embedded(spark, sf_dir)), "features"), column="scaled"))
-    one = F.lit(sweep.where("k = 1").first()["wcss"])
-    return sweep.select(
-        "k", F.when(F.col("k") == 1, F.round("wcss").cast("long")).alias("total"),
-        ((F.col("k") == 1) | (F.col("wcss") < one) & (F.col("wcss") > 0)).alias("falls"))
+    """The sweep over all standardized features, held against its labels.
+
+    For every ``k`` the rows are labelled: they fill ``k`` clusters, and their squares to the means
+    of these are what the sweep reports, within a hundredth (the fit reports them before its last step).
+    One cluster costs a unit per row and feature, every further number less than that, and twenty
+    less than ten, ten less than five and five less than two.
+    """
+    features = staged(standardize(_embedded(spark, sf_dir)).select("scaled"), "features")
+    models = fit_sweep(features, column="scaled")
+    sweep = elbow(kmeans_sweep(features, column="scaled", models=models))
+    labelled = features.withColumn("labels", F.array(F.struct(F.lit(1).alias("k"), F.lit(0).alias("cluster"))))
+    for k, model in models.items():
+        label = F.struct(F.lit(k).alias("k"), F.col("prediction").alias("cluster"))
+        labelled = model.transform(labelled).withColumn("labels", F.array_append("labels", label)).drop("prediction")
+    means = (labelled.select("scaled", F.explode("labels").alias("label")).groupBy("label")
+             .agg(Summarizer.metrics("count", "variance").summary(F.col("scaled")).alias("s"))
+             .select("label.k", F.col("s.count").alias("n"), vector_to_array("s.variance").alias("v")))
+    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x) * (F.col("n") - 1)
+    found = means.groupBy("k").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_clusters"), F.sum(squares).alias("squares"))
+    cost = {r["k"]: r["wcss"] for r in sweep.select("k", "wcss").collect()}
+    falls = cost[20] < cost[10] < cost[5] < cost[2]
+    return sweep.join(found, "k").select(
+        "k", "n_rows", "n_clusters", F.when(F.col("k") == 1, F.round("wcss").cast("long")).alias("total"),
+        (F.abs(F.col("squares") - F.col("wcss")) <= F.col("wcss") * 0.01).alias("costed"),
+        (((F.col("k") == 1) | (F.col("wcss") < F.lit(cost[1]))) & F.lit(falls)).alias("falls"))
 
 
 @query("swing_clusters", f"""WITH {KEYED}
@@ -128,18 +148,25 @@ def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.greatest(*[F.abs(f"m{i}") for i in (1, 2, 3)]).between(0, 1e-9).alias("centred"))
 
 
-@query("cluster_points", "SELECT count(*) AS n_rows, 4::BIGINT AS n_clusters, true AS settled FROM embeddings")
+@query("cluster_points", "SELECT vec_id, true AS nearest, true AS as_drawn, true AS settled FROM embeddings")
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is drawn: all points in four clusters, whose squared distances to their means
-    (two of three coordinates are drawn) stay below what the model reports."""
+    """What is drawn: of every point whether its cluster is that of the nearest centre, by distances
+    computed here, and whether its drawn coordinates are its scores; and whether the squares of all
+    points to their centres are, within a hundredth, what the fit reports."""
     embedded = staged(scored(_embedded(spark, sf_dir)), "scores")
     model = fit_clusters(embedded)
-    drawn = cluster_points(label_clusters(embedded, model))
-    axes = ("LatentVector1", "LatentVector2")
-    per = drawn.groupBy("Cluster").agg(F.count("*").alias("n"), *[F.var_pop(a).alias(a) for a in axes])
-    squares = F.sum(F.col("n") * sum((F.col(a) for a in axes), F.lit(0.0)))
-    return per.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_clusters"),
-                   (squares <= F.lit(float(model.summary.trainingCost) * (1 + 1e-9))).alias("settled"))
+    labelled = label_clusters(embedded, model)
+    drawn = cluster_points(labelled, "vec_id")
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    scores = embedded.select("vec_id", vector_to_array("scores").alias("scores"))
+    far = F.transform(centres, lambda c: F.aggregate(
+        F.zip_with("scores", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x))
+    measured = drawn.join(scores, "vec_id").withColumn("far", far).withColumn(
+        "own", F.get("far", F.substring("Cluster", 8, 9).cast("int") - 1))
+    total, reported = measured.agg(F.sum("own")).first()[0], float(model.summary.trainingCost)
+    drawn_as = (F.col("LatentVector1") == F.get("scores", 0)) & (F.col("LatentVector2") == F.get("scores", 1))
+    return measured.select("vec_id", (F.col("own") <= F.array_min("far") * (1 + 1e-9)).alias("nearest"),
+                           drawn_as.alias("as_drawn"), F.lit(abs(total - reported) <= 0.01 * reported).alias("settled"))
 
 
 @query("saved_model", "SELECT vec_id, true AS same FROM embeddings")
@@ -153,8 +180,25 @@ def saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return before.join(after, "vec_id").select("vec_id", (F.col("before") == F.col("after")).alias("same"))
 
 
-@query("silhouette", "SELECT count(*) AS n_rows, true AS in_range FROM embeddings")
+@query("silhouette", "SELECT count(*) AS n_rows, true AS recomputed FROM embeddings")
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = scored(_embedded(spark, sf_dir))
-    quality = silhouette(embedded, fit_clusters(embedded))
-    return embedded.agg(F.count("*").alias("n_rows")).withColumn("in_range", F.lit(-1.0 <= quality <= 1.0))
+    """The silhouette, held against the mean over all rows made from counts, sums and squares of the clusters."""
+    embedded = staged(scored(_embedded(spark, sf_dir)), "scores")
+    model = fit_clusters(embedded)
+    quality = silhouette(embedded, model)
+    rows = model.transform(embedded).select("prediction", vector_to_array("scores").alias("x")).withColumn(
+        "square", F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
+    width = len(model.clusterCenters()[0])
+    clusters = rows.groupBy("prediction").agg(
+        F.count("*").alias("n"), F.sum("square").alias("squares"), F.array(*[F.sum(F.get("x", i)) for i in range(width)]).alias("sums"))
+    apart = F.array(*[F.struct(      # one entry for each of a few clusters
+        F.lit(c["prediction"]).alias("cluster"), F.lit(c["n"]).alias("n"),
+        (F.col("square") + c["squares"] / c["n"] - 2 * sum(
+            (F.get("x", i) * (v / c["n"]) for i, v in enumerate(c["sums"])), F.lit(0.0))).alias("far"))
+        for c in clusters.collect()])
+    own = F.get(F.filter("apart", lambda c: c["cluster"] == F.col("prediction")), 0)
+    other = F.array_min(F.transform(F.filter("apart", lambda c: c["cluster"] != F.col("prediction")), lambda c: c["far"]))
+    a, b = F.col("own.far") * F.col("own.n") / (F.col("own.n") - 1), F.col("other")
+    value = F.when(F.col("own.n") == 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    measured = rows.withColumn("apart", apart).withColumn("own", own).withColumn("other", other)
+    return measured.agg(F.count("*").alias("n_rows"), (F.abs(F.avg(value) - F.lit(quality)) <= 1e-9).alias("recomputed"))

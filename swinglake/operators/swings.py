@@ -101,25 +101,30 @@ def total_squares(df: DataFrame, column: str = "scores") -> float:
     return float(sum(variance)) * (n - 1)
 
 
-def kmeans_sweep(df: DataFrame, ks: Iterable[int] = SWEEP, seed: int = SEED,
-                 column: str = "scores", parallelism: int = 8) -> DataFrame:
-    """Within-cluster squares for every ``k``, as ``(k, wcss)``.
+def fit_sweep(df: DataFrame, ks: Iterable[int] = SWEEP, seed: int = SEED, column: str = "scores",
+              parallelism: int = 8) -> dict[int, KMeansModel]:
+    """A fit for every ``k`` above 1.
 
     The fits are independent and their jobs small (three numbers per swing), so
     ``parallelism`` of them are submitted at a time.
     """
-    points = df.select(column).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def cost(k: int) -> tuple[int, float]:
-        if k == 1:
-            return k, total_squares(points, column)
-        return k, float(fit_clusters(points, k, column, seed).summary.trainingCost)
-
+    points, several = df.select(column).persist(StorageLevel.MEMORY_AND_DISK), [k for k in ks if k > 1]
     try:
         with ThreadPool(parallelism) as pool:
-            costs = pool.map(inheritable_thread_target(df.sparkSession)(cost), list(ks), 1)
+            models = pool.map(inheritable_thread_target(df.sparkSession)(
+                lambda k: fit_clusters(points, k, column, seed)), several, 1)
     finally:
         points.unpersist()
+    return dict(zip(several, models))
+
+
+def kmeans_sweep(df: DataFrame, ks: Iterable[int] = SWEEP, seed: int = SEED,
+                 column: str = "scores", parallelism: int = 8,
+                 models: dict[int, KMeansModel] | None = None) -> DataFrame:
+    """Within-cluster squares for every ``k``, as ``(k, wcss)``; of ``models``, where they are fitted already."""
+    ks = list(ks)
+    fitted = fit_sweep(df, ks, seed, column, parallelism) if models is None else models
+    costs = [(k, float(fitted[k].summary.trainingCost) if k > 1 else total_squares(df, column)) for k in ks]
     return df.sparkSession.createDataFrame(costs, "k int, wcss double")
 
 
@@ -143,9 +148,9 @@ def label_clusters(df: DataFrame, model: KMeansModel) -> DataFrame:
         F.concat(F.lit("Cluster"), F.col("prediction") + 1).alias("Cluster"))
 
 
-def cluster_points(labelled: DataFrame) -> DataFrame:
+def cluster_points(labelled: DataFrame, *keep: str) -> DataFrame:
     """What a scatter plot of the clusters shows."""
-    return labelled.select("LatentVector2", "LatentVector1", "Cluster")
+    return labelled.select(*keep, "LatentVector2", "LatentVector1", "Cluster")
 
 
 def silhouette(df: DataFrame, model: KMeansModel) -> float:
