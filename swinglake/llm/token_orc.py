@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from swinglake.llm.common import give_back
-
 END_ID = 1
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -134,7 +132,6 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(first, at - first), shards.slice(first, at - first), pa.array(starts),
                      pa.array(counts), lists], names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
-        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     return ordered.mapInArrow(encode, f"doc_id {kind}, shard int, shard_start long, n_tokens long, ids array<int>")
