@@ -23,7 +23,7 @@ from swinglake.sources.delimited import (
 from swinglake.sources.files import (
     list_files, literal_rows, read_delimited, read_json_stream, read_text, with_input_file,
 )
-from swinglake.sources.xml import read_xml
+from swinglake.sources.xml import read_xml, read_xml_stream
 from swinglake.streaming.sinks import for_each_batch, read_batches, write_stream, write_stream_batches
 
 CSV_SCHEMA = StructType().add("frame", "integer").add("cents", "long").add("kind", "string")
@@ -199,6 +199,28 @@ def ingest_xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event(rows, *XML_SCHEMA.fieldNames(), "_rescued_data")
 
 
+@query("xml_unknown_elements", """WITH found AS (
+  SELECT c_custkey, c_name,
+    CASE WHEN c_custkey % 5 = 0 THEN '"Phone":"n' || c_nationkey || '","Phone_1":"p' || c_custkey || '"' END AS r1,
+    CASE WHEN c_custkey % 3 = 0 THEN '"Segment":"' || c_mktsegment || '"' END AS r2 FROM customer)
+SELECT c_custkey AS "ID", c_name AS "Name", 'game' || (c_custkey % 4) AS game,
+  CASE WHEN coalesce(r1, r2) IS NOT NULL THEN '{' || concat_ws(',', r1, r2) || '}' END AS _rescued_data
+FROM found""")
+def xml_unknown_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with elements that the schema does not know, some of them twice, as a stream."""
+    at, key = scratch_dir(spark, "landing-unknown"), F.col("c_custkey")
+    phones = F.when(key % 5 == 0, F.array(*[F.concat(F.lit(p), F.col(c)) for p, c in (("n", "c_nationkey"), ("p", "c_custkey"))]))
+    records = fx.table(spark, sf_dir, "customer").select(
+        F.when(key % 3 == 0, F.col("c_mktsegment")).alias("Segment"), key.alias("ID"),
+        phones.alias("Phone"), F.col("c_name").alias("Name"), F.concat(F.lit("game"), key % 4).alias("game"))
+    records.write.partitionBy("game").format("xml").option("rowTag", "Customer").save(f"{at}/landing")
+    rows = read_xml_stream(spark, f"{at}/landing/*/part-*", "Customer", StructType().add("ID", "long").add("Name", "string"))
+    folder = F.element_at(F.split("input_file", "/"), -2)
+    rows = rows.select("ID", "Name", F.substring_index(folder, "=", -1).alias("game"), "_rescued_data")
+    write_stream(rows, f"{at}/table", f"{at}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{at}/table")
+
+
 # --- well-formed delimited files, JSON lines -------------------------------
 
 CUSTOMER_SQL = """SELECT c_custkey, c_name, c_mktsegment, 'nation=' || c_nationkey AS folder

@@ -11,8 +11,8 @@ from swinglake.sources import files as src
 from swinglake.sources.delimited import (
     pinned_schema, read_csv_stream, read_report, rescue_cast, rescue_csv,
 )
-from swinglake.sources.xml import read_xml
-from swinglake.streaming.sinks import write_stream
+from swinglake.sources.xml import read_xml, read_xml_stream
+from swinglake.streaming.sinks import drain_to_batch, write_stream
 
 
 def put(root, name: str, text: str) -> None:
@@ -79,10 +79,35 @@ def test_xml_rescues_values_and_elements(spark, tmp_path):
     got = {r["ID"]: r for r in read_xml(spark, f"{tmp_path}/*/p.xml", "p", schema).collect()}
     assert got[2]["W"] == 80 and got[2]["_rescued_data"] is None
     assert got[1]["W"] is None
-    assert json.loads(got[1]["_rescued_data"]) == {"W": "z", "_extra_0": "9"}
+    assert json.loads(got[1]["_rescued_data"]) == {"W": "z", "N": "9"}
     assert read_xml(spark, f"{tmp_path}/*/p.xml", "p").count() == 2
 
 
+XML_ODD = """<r><p><Bats>L</Bats><ID>1</ID><n><a>01</a><a> x</a></n><W>7</W></p>
+<p k="v"><ID>2</ID><Z>007</Z><Y>08</Y><Y>b</Y><Y/><Y><q>1</q></Y><E/><w>8</w></p>
+<p><ID>3</ID><W>z</p><p><ID>4</ID><W>9</W><T>&lt;&amp;</T></p><p><ID>5</ID><X><![CDATA[a<b]]></X></p><p/></r>"""
+XML_FOUND = {1: (7, None, {"Bats": "L", "n": "<a>01</a><a> x</a>"}), 4: (9, "<&", None),
+             2: (8, None, {"Z": "007", "Y": "8", "Y_1": "b", "Y_2": "", "Y_3": '{"q":1}', "E": "", "_k": "v"}),
+             5: (None, None, {"X": "a<b"})}
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_xml_rescues_elements_by_name(spark, tmp_path, streamed):
+    put(tmp_path, "e1/p.xml", XML_ODD)
+    schema = StructType.fromDDL("ID long, W long, T string")
+    if streamed:
+        rows = drain_to_batch(read_xml_stream(spark, f"{tmp_path}/*/p.xml", "p", schema),
+                              f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    else:
+        rows = read_xml(spark, f"{tmp_path}/*/p.xml", "p", schema)
+    got = rows.collect()
+    whole = {r["ID"]: (r["W"], r["T"], r["_rescued_data"] and json.loads(r["_rescued_data"]))
+             for r in got if "_corrupt_record" not in (r["_rescued_data"] or "") and r["ID"]}
+    assert whole == XML_FOUND
+    torn = [json.loads(r["_rescued_data"])["_corrupt_record"] for r in got if "_corrupt" in (r["_rescued_data"] or "")]
+    assert torn == ["<p><ID>3</ID><W>z</p>"]
+
+
 def test_rescue_cast_names_unknown_columns(spark):
     df = spark.createDataFrame([("1", "x", "keep")], "a string, z string, k string")
     row = rescue_cast(df, StructType.fromDDL("a int, b int"), keep=["k"]).first()
