@@ -15,8 +15,10 @@ from swinglake.operators.joins import align_frames, enrich, match_key_frames
 from swinglake.operators.profile import stage_counts
 from swinglake.operators.shaping import clean, pose_columns, slot_columns, spread_tracker
 from swinglake.plans import silver
-from swinglake.session import scratch_dir
+from swinglake.session import scratch_dir, staged
 from swinglake.sources.files import read_table, stream_table
+from swinglake.streaming.bounded import LEFT, OUTCOME, RIGHT, drain_paired, paired, waiting
+from swinglake.streaming.sinks import read_batches
 
 
 def _batch(spark: SparkSession, path: str) -> DataFrame:
@@ -345,3 +347,38 @@ def stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_counts({
         "frames": frames, "joined": joined, "enriched": enriched,
         "packed": silver.packed(enriched)})
+
+
+@query("bounded_join", f"""WITH {fx.MOTION}, {fx.FRAMES},
+m AS (SELECT input_event, row_number, event_id % 240 AS minute FROM motion WHERE _rescued_data IS NULL),
+f AS (SELECT input_event, row_number, event_id % 240 + event_id % 7 AS minute FROM frames WHERE _rescued_data IS NULL)
+SELECT coalesce(m.input_event, f.input_event) AS input_event, coalesce(m.row_number, f.row_number) AS row_number,
+  m.minute AS motion_minute, f.minute AS tracker_minute,
+  CASE WHEN f.minute IS NULL THEN 'left' WHEN m.minute IS NULL THEN 'right' ELSE 'matched' END AS outcome
+FROM m FULL JOIN f ON m.input_event = f.input_event AND m.row_number = f.row_number
+  AND f.minute - m.minute BETWEEN -3 AND 3""")
+def bounded_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Motion and tracker rows that arrive over four hours, an hour a run, joined if at most three
+    minutes apart: pairs, rows without a partner, and those that still wait in the state."""
+    at, start = scratch_dir(spark, "bounded-join"), F.lit("2024-01-01").cast("timestamp")
+    b, event = fx.bronze(spark, sf_dir), F.col("row_index")
+    ids, lag = F.pmod(event, F.lit(240)), {"motion": F.lit(0), "frames": F.pmod(event, F.lit(7))}
+    arriving = {name: staged(clean(rows).select(
+        "input_event", "row_number", (ids + lag[name]).alias("minute"),
+        (start + F.make_dt_interval(mins=ids + lag[name])).alias("arrived")), "arriving")
+        for name, rows in (("motion", _batch(spark, b.motion)), ("frames", _batch(spark, b.frames)))}
+    for hour in range(4):
+        for name, rows in arriving.items():
+            due = F.least(F.floor(F.col("minute") / 60), F.lit(3)) == hour
+            rows.where(due).write.mode("append").parquet(f"{at}/landed/{name}")
+        sides = [stream_table(spark, f"{at}/landed/{name}") for name in arriving]
+        drain_paired(paired(*sides, ("input_event", "row_number"), "arrived", "3 minutes"),
+                     f"{at}/table", f"{at}/checkpoint")
+    both = [F.coalesce(f"{LEFT}.{c}", f"{RIGHT}.{c}").alias(c) for c in ("input_event", "row_number")]
+    minutes = [F.col(f"{LEFT}.minute").alias("motion_minute"), F.col(f"{RIGHT}.minute").alias("tracker_minute")]
+    told = read_batches(spark, f"{at}/table").select(*both, *minutes, OUTCOME)
+    for side, own, other in ((LEFT, "motion_minute", "tracker_minute"), (RIGHT, "tracker_minute", "motion_minute")):
+        left = waiting(spark, f"{at}/checkpoint", side).withColumnsRenamed({"minute": own})
+        told = told.unionByName(left.select("input_event", "row_number", own, F.lit(None).cast("long").alias(other),
+                                            F.lit(side).alias(OUTCOME)))
+    return told

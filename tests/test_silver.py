@@ -12,6 +12,7 @@ from swinglake.operators.shaping import clean, pack_maps, pose_columns, spread_t
 from swinglake.plans import silver
 from swinglake.sources.files import stream_table
 from swinglake.streaming import drain_to_batch, read_batches, union_batches, within, write_stream
+from swinglake.streaming.bounded import drain_paired, matches, paired, unmatched, waiting
 
 EVENTS = [f"lake/e{i}" for i in range(4)]
 
@@ -260,6 +261,39 @@ def test_bounded_stream_join(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.schema("i long").parquet(f"{tmp_path}/t").collect()) == [0, 1, 2]
 
 
+def _land(spark, at, rows):
+    spark.createDataFrame(rows, "k long, t string, v string").select(
+        "k", F.to_timestamp("t").alias("at"), "v").coalesce(1).write.mode("append").parquet(at)
+
+
+def test_rows_without_partner_leave_the_state(spark, tmp_path):
+    """A null key, a null time, repeated rows, and state that ends when the watermark has passed."""
+    kinds, got = "k long, at timestamp, v string", []
+    hours = [
+        ([(1, "2024-01-01 00:00:00", "a"), (1, "2024-01-01 00:00:00", "a"), (2, "2024-01-01 00:00:00", "b"),
+          (None, "2024-01-01 00:00:00", "c"), (5, None, "d")],
+         [(1, "2024-01-01 00:02:00", "A"), (2, "2024-01-01 00:09:00", "B"), (5, "2024-01-01 00:00:00", "D")]),
+        ([(3, "2024-01-01 01:00:00", "e"), (4, "2024-01-01 01:00:00", "f")], [(3, "2024-01-01 01:01:00", "E")])]
+    for left, right in hours:
+        _land(spark, f"{tmp_path}/l", left)
+        _land(spark, f"{tmp_path}/r", right)
+        sides = [spark.readStream.schema(kinds).parquet(f"{tmp_path}/{n}") for n in "lr"]
+        got += drain_paired(paired(*sides, ["k"], "at", "3 minutes"), f"{tmp_path}/t", f"{tmp_path}/c")
+    pairs = matches(spark, f"{tmp_path}/t").select("left.v", F.col("right.v").alias("w")).collect()
+    assert sorted(map(tuple, pairs)) == [("a", "A"), ("a", "A"), ("e", "E")]
+    alone = {s: sorted(r["v"] for r in unmatched(spark, f"{tmp_path}/t", s).collect()) for s in ("left", "right")}
+    assert alone == {"left": ["b", "c", "d"], "right": ["B", "D"]}
+    assert [r["v"] for r in waiting(spark, f"{tmp_path}/c", "left").collect()] == ["f"]
+    assert waiting(spark, f"{tmp_path}/c", "right").count() == 0
+    assert [s.rows_in_state for s in got] == [7, 7, 10, 3]
+    assert not any(s.late for s in got)
+
+    _land(spark, f"{tmp_path}/l", [(1, "2024-01-01 00:00:00", "late")])
+    with pytest.raises(RuntimeError, match="behind the watermark"):
+        sides = [spark.readStream.schema(kinds).parquet(f"{tmp_path}/{n}") for n in "lr"]
+        drain_paired(paired(*sides, ["k"], "at", "3 minutes"), f"{tmp_path}/t", f"{tmp_path}/c")
+
+
 def test_read_batches_hides_the_batch(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/t/batch_id=0")
     spark.range(2).withColumn("x", F.lit(1)).write.parquet(f"{tmp_path}/t/batch_id=1")
