@@ -18,7 +18,8 @@ from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
 from swinglake.plans.validate import validate
 from swinglake.session import scratch_dir, staged
 from swinglake.sources.delimited import (
-    parse_lines, pinned_schema, read_csv_stream, read_report, rescue_csv, text_line_stream,
+    parse_lines, pinned_schema, promote_rescued, read_csv_stream, read_report, rescue_csv, text_line_stream,
+    widen_schema,
 )
 from swinglake.sources.files import (
     list_files, literal_rows, read_delimited, read_json_stream, read_text, with_input_file,
@@ -128,6 +129,21 @@ def late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, published).distinct()
 
 
+@query("promoted_columns", CSV_SQL.replace("rn AS row_number", "substr(r2, 9, length(r2) - 9) AS note").replace(
+    "coalesce(r1, r2, r3)", "coalesce(r1, r3)").replace("r1, r2, r3)", "r1, r3)"))
+def promoted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files land before the schema has a column ``note`` and half of them after: the rows
+    are those of all files read with that column."""
+    root = fx.land_csv(spark, sf_dir)
+    lake = Lake(scratch_dir(spark, "lake"), root)
+    location, note = lake.schema("batting", "motion"), StructType().add("note", "string")
+    pinned_schema(spark, root, location, infer=lambda: CSV_SCHEMA)
+    ingest_csv(spark, lake, "motion", "batting", ";", files=_glob(root, "part-*").replace("*/part", "*_Home/part"))
+    widen_schema(spark, location, note)
+    rows = promote_rescued(ingest_csv(spark, lake, "motion", "batting", ";", files=_glob(root)), note)
+    return _event(rows, "frame", "cents", "kind", "note", "_rescued_data")
+
+
 @query("replayed_batches", CSV_SQL)
 def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch is written twice, as after a failure between write and commit."""

@@ -9,7 +9,8 @@ from swinglake.operators.tables import read_merged
 from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
 from swinglake.sources import files as src
 from swinglake.sources.delimited import (
-    pinned_schema, read_csv_stream, read_report, rescue_cast, rescue_csv,
+    pinned_schema, promote_rescued, read_csv_stream, read_report, rescue_cast, rescue_csv, schema_versions,
+    widen_schema,
 )
 from swinglake.sources.xml import read_xml, read_xml_stream
 from swinglake.streaming.sinks import drain_to_batch, write_stream
@@ -108,6 +109,31 @@ def test_xml_rescues_elements_by_name(spark, tmp_path, streamed):
     assert torn == ["<p><ID>3</ID><W>z</p>"]
 
 
+def test_rescued_values_are_promoted(spark):
+    rows = [(1, None, '{"Note":"7","z":"q"}'), (2, None, '{"NOTE":"x"}'), (3, 5, '{"note":"6"}'), (4, None, None),
+            (5, None, '{"note":"8"}'), (6, None, '{}'), (7, None, 'no json'), (8, None, '{"note":"9","NOTE":"10"}')]
+    df = spark.createDataFrame(rows, "a int, note long, _rescued_data string")
+    added = StructType.fromDDL("note long, z string")
+    got = promote_rescued(df, added)
+    assert got.columns == ["a", "note", "z", "_rescued_data"]
+    assert sorted(map(tuple, got.collect())) == [
+        (1, 7, "q", None), (2, None, None, '{"NOTE":"x"}'), (3, 5, None, '{"note":"6"}'), (4, None, None, None),
+        (5, 8, None, None), (6, None, None, "{}"), (7, None, None, "no json"), (8, 9, None, '{"NOTE":"10"}')]
+    assert promote_rescued(df.limit(0), added).count() == 0
+
+
+def test_schemas_are_widened_in_versions(spark, tmp_path):
+    at, first = f"{tmp_path}/schema", StructType.fromDDL("a int, b string")
+    with pytest.raises(ValueError, match="no schema"):
+        widen_schema(spark, at, first)
+    assert pinned_schema(spark, "none", at, infer=lambda: first) == first
+    wider = widen_schema(spark, at, StructType.fromDDL("B string, c long"))
+    assert wider.names == ["a", "b", "c"] and widen_schema(spark, at, wider) == wider
+    assert schema_versions(spark, at) == [first, wider] and pinned_schema(spark, "none", at) == wider
+    with pytest.raises(ValueError, match="another type: C"):
+        widen_schema(spark, at, StructType.fromDDL("C int"))
+
+
 def test_rescue_cast_names_unknown_columns(spark):
     df = spark.createDataFrame([("1", "x", "keep")], "a string, z string, k string")
     row = rescue_cast(df, StructType.fromDDL("a int, b int"), keep=["k"]).first()
