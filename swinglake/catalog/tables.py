@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from swinglake.catalog import fixtures as fx
 from swinglake.catalog.registry import query
 from swinglake.joints import key_frames_schema, master_schema
+from swinglake.operators.kept_profile import extend_profile, read_profile
 from swinglake.operators.profile import event_count, profile_columns, profile_tables, row_count, summarize
 from swinglake.operators.tables import (
     append_merge, compact, compact_small, ensure_layers, ensure_table, files_of, read_current,
@@ -16,6 +17,7 @@ from swinglake.plans import silver
 from swinglake.plans.validate import validate
 from swinglake.session import scratch_dir, staged
 from swinglake.sources.files import list_files, read_table
+from swinglake.streaming.sinks import BATCH, read_batches
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -102,6 +104,35 @@ def percentile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n"), ranked("p25", 0.25), ranked("p50", 0.5), ranked("p75", 0.75))
 
 
+@query("kept_profile", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, 0::BIGINT AS n_missing, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, "
+    f"true AS n_distinct, true AS p25, true AS p50, true AS p75, 3::BIGINT AS runs FROM lineitem" for c in _NUMBERS))
+def kept_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile kept up over three batches and a run with nothing new: counts are exact, distinct
+    values within 8 % (five standard errors), ranks within 3 % of those of all rows."""
+    lines, at, runs = fx.table(spark, sf_dir, "lineitem").select(*_NUMBERS), scratch_dir(spark, "kept-profile"), []
+    for batch in (0, 1, 2, 2):
+        share = lines.where(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3)) == batch)
+        share.write.mode("overwrite").parquet(f"{at}/table/batch_id={batch}")
+        runs.append(extend_profile(read_batches(spark, f"{at}/table", keep=BATCH), f"{at}/profile", BATCH))
+    kept = read_profile(spark, f"{at}/profile").select(
+        "column", "n", "n_missing", "n_distinct", *[F.col(c).cast("double").alias(c) for c in ("min", "max")], "p25", "p50", "p75")
+    times = lines.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in _NUMBERS]))
+    ).groupBy("column", "x").agg(F.count("*").alias("k"))
+    joined, shown = times.join(F.broadcast(kept), "column"), ["n", "n_missing", "min", "max"]    # a row per column of the table
+
+    def ranked(name: str, p: float):
+        below, upto = (F.sum(F.when(c, F.col("k")).otherwise(0)) for c in (F.col("x") < F.col(name), F.col("x") <= F.col(name)))
+        return ((below <= (p + 0.03) * F.col("n")) & (upto >= (p - 0.03) * F.col("n"))).alias(name)
+
+    near = F.abs(F.count("*") - F.col("n_distinct")) <= 0.08 * F.count("*")
+    return joined.groupBy("column", *shown, "n_distinct").agg(
+        near.alias("_near"), ranked("p25", 0.25), ranked("p50", 0.5), ranked("p75", 0.75)).select(
+        "column", *shown, F.col("_near").alias("n_distinct"), "p25", "p50", "p75",
+        F.lit(sum(r is not None for r in runs)).cast("long").alias("runs"))
+
+
 @query("append_merge", """SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""")
 def append_merged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from swinglake.joints import key_frames_schema, master_schema
+from swinglake.operators.kept_profile import extend_profile, read_profile
 from swinglake.operators.profile import event_count, profile_layer, row_count, stage_counts, summarize
 from swinglake.operators.tables import (
     append_merge, compact, compact_small, ensure_layers, ensure_table, files_of, read_current,
@@ -35,6 +36,22 @@ def test_layers_and_typed_tables(spark, tmp_path):
     assert profile_layer(spark, f"{prefix}gold").count() == 0
 
 
+def test_profiles_are_kept_up(spark, tmp_path):
+    at, profile = f"{tmp_path}/t", f"{tmp_path}/p"
+    assert read_profile(spark, profile).count() == 0
+    kinds = "batch_id int, x double, s string, e int"
+    assert extend_profile(spark.createDataFrame([], kinds), profile, "batch_id") is None
+    rows = {0: [(1.0, "b", None), (None, "b", None)], 3: [(5.0, None, None), (3.0, "a", None), (3.0, "a", None)]}
+    for batch, some in rows.items():
+        spark.createDataFrame(some, "x double, s string, e int").write.parquet(f"{at}/batch_id={batch}")
+        assert extend_profile(spark.read.parquet(at), profile, "batch_id") == batch
+    # an older batch that changes is not read again
+    spark.range(100).selectExpr("id / 1.0D AS x", "'q' AS s", "1 AS e").write.mode("overwrite").parquet(f"{at}/batch_id=0")
+    assert extend_profile(spark.read.parquet(at), profile, "batch_id") is None
+    got = {r["column"]: tuple(r)[2:] for r in read_profile(spark, profile, [0.5]).collect()}
+    assert got == {"x": (4, 1, 3, "1.0", "5.0", 3.0), "s": (4, 1, 2, "a", "b", None), "e": (0, 5, 0, None, None, None)}
+
+
 def test_appends_merge_columns(spark, tmp_path):
     append_merge(spark.range(2), f"{tmp_path}/t")
     merged = append_merge(spark.range(1).withColumn("x", F.lit(5)), f"{tmp_path}/t")
