@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from swinglake.operators.tables import read_merged
@@ -235,3 +236,20 @@ def test_plain_readers(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/t")
     assert src.read_table(spark, f"{tmp_path}/t").count() == 3
     assert read_merged(spark, f"{tmp_path}/t").count() == 3
+
+
+def test_landing_files_are_written_and_listed_by_several_tasks(spark, tmp_path):
+    from swinglake.catalog import fixtures as fx
+    from swinglake.catalog.landing import _glob
+    from swinglake.operators.numbering import with_file_position
+
+    spark.range(400).selectExpr("id AS event_id", "id % 40 AS user_id", "'tap' AS event_type", "id / 4 AS value").write.parquet(
+        f"{tmp_path}/events.parquet")
+    fx.append_csv(spark, str(tmp_path), str(tmp_path), F.col("row_number") <= 3)
+    roots = [fx.write_csv(spark, str(tmp_path)), fx.write_reports(spark, str(tmp_path)), fx.write_xml(spark, str(tmp_path)), str(tmp_path)]
+    for root in roots:
+        files = with_file_position(spark.read.text(_glob(root))).select("input_file").distinct()
+        found = files.select(F.regexp_extract("input_file", "event=[^/]*_Player_([0-9]+)_", 1).alias("user"),
+                             F.regexp_extract("input_file", "/part-([0-9]+)-", 1).alias("task"))
+        assert found.select("user").distinct().count() == 40
+        assert found.select("task").distinct().count() > 2
