@@ -13,7 +13,7 @@ from swinglake.catalog.motion import KEYED, key_frames
 from swinglake.catalog.registry import query
 from swinglake.joints import JOINTS, MEASURES, NON_BODY_JOINTS
 from swinglake.operators.swings import (
-    cluster_points, elbow, fit_clusters, fit_sweep, kmeans_sweep, label_clusters, pca_scores, silhouette,
+    KEY_FRAME, cluster_points, elbow, fit_clusters, fit_sweep, kmeans_sweep, label_clusters, pca_scores, silhouette,
     standardize, swing_features,
 )
 from swinglake.plans.clusters import fit_swing_model, label_swings, scored, swing_clusters
@@ -35,7 +35,7 @@ _FEATURES_SQL = ", ".join(fx.pose_sql(j, m) for j, m in _BODY)
   WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS NULL)
 SELECT input_event, unnest(range(len(features)))::INT AS feature, unnest(features) AS x FROM rows""")
 def swing_feature_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = swing_features(key_frames(spark, sf_dir))
+    features = swing_features(key_frames(spark, sf_dir, KEY_FRAME))
     return features.select(
         "input_event", F.posexplode(vector_to_array("features")).alias("feature", "x"))
 
@@ -127,7 +127,7 @@ JOIN timed m ON k.input_event = m.input_event AND m."TimestampRounded" = 80
 WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS NULL""")
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every swing has a cluster, named after its number."""
-    labelled = swing_clusters(key_frames(spark, sf_dir))
+    labelled = swing_clusters(key_frames(spark, sf_dir, KEY_FRAME))
     return labelled.select("input_event", (
         F.col("Cluster K-means PCA").between(0, 3)
         & (F.col("Cluster") == F.concat(F.lit("Cluster"), F.col("Cluster K-means PCA") + 1))).alias("named"))
@@ -140,7 +140,7 @@ WHERE k.name = 'BallContact' AND k._rescued_data IS NULL AND m._rescued_data IS
 def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What must hold whichever way clusters are numbered: every swing has one of the
     four, and latent coordinates are centred."""
-    labelled = swing_clusters(key_frames(spark, sf_dir))
+    labelled = swing_clusters(key_frames(spark, sf_dir, KEY_FRAME))
     return labelled.agg(
         F.count("*").alias("n_rows"), F.count_distinct("Cluster").alias("n_clusters"),
         *[F.avg(f"LatentVector{i}").alias(f"m{i}") for i in (1, 2, 3)],

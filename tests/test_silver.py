@@ -303,3 +303,29 @@ def test_read_batches_hides_the_batch(spark, tmp_path):
 
 def test_pose_column_names():
     assert pose_column("Hips", "R11") == "Hips_R11"
+
+
+@pytest.fixture(scope="module")
+def few_events(spark, tmp_path_factory):
+    at = str(tmp_path_factory.mktemp("events"))
+    spark.range(600).selectExpr("id AS event_id", "id % 12 AS user_id", "'tap' AS event_type", "id / 4 AS value").write.parquet(
+        f"{at}/events.parquet")
+    return at
+
+
+def test_motion_rows_become_wide_on_reading(spark, few_events):
+    from swinglake.catalog import fixtures as fx
+    b = fx.build_bronze(spark, few_events)
+    assert "Hips_R11" not in b.kept("motion").columns and "motion" not in vars(b)
+    rows, written = b.rows("motion"), spark.read.parquet(b.motion)
+    assert rows.columns == written.columns and rows.count() == 600
+    assert rows.exceptAll(written).count() == 0
+
+
+def test_key_frames_of_one_name(spark, few_events):
+    from swinglake.catalog import fixtures as fx
+    b = fx.build_bronze(spark, few_events)
+    feeds = [b.rows(feed) for feed in ("motion", "key_frames", "params")]
+    every, one = silver.key_frames(*feeds), silver.key_frames(*feeds, only="BallContact")
+    wanted = every.where("KeyFrameNames = 'BallContact'")
+    assert one.count() == wanted.count() > 0 and one.exceptAll(wanted).count() == 0
