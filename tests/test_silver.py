@@ -329,3 +329,30 @@ def test_key_frames_of_one_name(spark, few_events):
     every, one = silver.key_frames(*feeds), silver.key_frames(*feeds, only="BallContact")
     wanted = every.where("KeyFrameNames = 'BallContact'")
     assert one.count() == wanted.count() > 0 and one.exceptAll(wanted).count() == 0
+
+
+def test_streams_joined_by_place_keep_no_wide_rows(spark, few_events, tmp_path):
+    from swinglake.catalog import fixtures as fx
+    b = fx.build_bronze(spark, few_events)
+    whole = silver.master(b.rows("motion"), b.rows("frames"), b.rows("params"))
+    wanted = whole.select("input_event", "Timestamp", "ID", F.map_values("hips_zip").alias("hips"))
+    early = {"motion": F.col("row_number") % 2 == 0, "frames": F.col("row_number") % 3 == 0}
+    for first in (True, False):                  # rows of either side come after their partners
+        for name, share in early.items():
+            b.kept(name).where(share if first else ~share).write.mode("append").parquet(f"{tmp_path}/landed/{name}")
+        streams, tables = zip(*[fx.placed_feed(spark, name, f"{tmp_path}/landed/{name}") for name in early])
+        runs = silver.master_batch(*streams, b.rows("params"), f"{tmp_path}/runs", f"{tmp_path}/at", tables=tables)
+        stream = silver.publish_master(*streams, b.rows("params"), tables, f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    for made in (runs, stream):
+        made = made.select(wanted.columns[0], "Timestamp", "ID", F.map_values("hips_zip").alias("hips"))
+        assert made.count() == wanted.count() > 0 and made.exceptAll(wanted).count() == 0
+    staged_motion = spark.read.parquet(f"{tmp_path}/at/motion")
+    assert set(staged_motion.columns) == {"input_event", "row_number", *silver.PLACE, "batch_id"}
+    state = spark.read.format("statestore").option("storeName", "left-keyWithIndexToValue").load(f"{tmp_path}/checkpoint")
+    assert len(state.schema["value"].dataType) <= 6
+
+    motion, rows = b.placed("motion")
+    frames = silver.publish_key_frames(motion, b.stream("key_frames"), b.rows("params"), rows, f"{tmp_path}/kf", f"{tmp_path}/kfc")
+    batch = silver.key_frames(b.rows("motion"), b.rows("key_frames"), b.rows("params"))
+    assert frames.columns == batch.columns
+    assert frames.count() == batch.count() > 0 and frames.exceptAll(batch).count() == 0
