@@ -9,7 +9,7 @@ costs a few bytes, and blocks and buckets have bounded size however large the co
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,13 +58,13 @@ def _edges(buckets: int) -> np.ndarray:
 
 
 def totals(blocks: DataFrame, keys: Keys, at: Layout,
-           tally: Callable[[np.ndarray, np.ndarray], list[int]] | None = None) -> DataFrame:
+           tally: Callable[[np.ndarray, np.ndarray], list[int]] | None = None, whole: bool = False) -> DataFrame:
     """``block, bucket, totals`` for a table with a column ``block``.
 
     ``keys`` turns the rows of a block into distinct keys (sorted uint64) and their counts
     there (uint32); it is run once more where the totals are used, see ``answers``.
     ``tally`` makes some numbers of a bucket's distinct keys and totals; they come as rows
-    of blocks -1, -2, ..., see ``tallied``.
+    of blocks -1, -2, ..., see ``tallied``.  With ``whole`` each row is a block, and none is shuffled.
     """
     edges = _edges(at.buckets)
 
@@ -96,7 +96,13 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
         give_back()
         return out
 
-    asked = blocks.groupBy("block").applyInPandas(ask, "bucket int, block int, keys binary, counts binary")
+    def ask_each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for i in range(len(frame)):
+                yield ask(frame.iloc[i:i + 1])
+
+    shape = "bucket int, block int, keys binary, counts binary"
+    asked = blocks.mapInPandas(ask_each, shape) if whole else blocks.groupBy("block").applyInPandas(ask, shape)
     return asked.groupBy("bucket").applyInPandas(add, "block int, bucket int, totals binary")
 
 

@@ -12,44 +12,73 @@ for rare histories: ``b(h) = b + 0.8 (1 - b) / c(h)^2``.  Words alone have add-o
 
 The counts are those of the whole corpus.  No task holds them all: a block of texts gets
 the exact counts of its own sequences (``counts``), which is every arc it can follow.
+A block is packed once, its words as numbers into the block's own list of word hashes, and
+asks for its counts in ``PARTS`` ranges of keys, one after the other, so that only one
+range is being shuffled at a time.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swinglake.llm.common import lower_ascii, staged
-from swinglake.llm.counts import answers, block_of, layout, tallied, totals
+from swinglake.llm.common import give_back, lower_ascii, staged
+from swinglake.llm.counts import Layout, answers, block_of, layout, tallied, totals
 
 ORDER = 3
 BLOCK_BYTES = 4 << 20
+PARTS = 2             # ranges of keys that are counted one after the other
 RARE = 0.8            # of what is left to a history seen once, the share that goes to lower orders
 _END = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ORDER_BITS = np.uint64(3)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode())
-        return value
-
-
-_hashes = _WordHashes()
-
-
 def _scrambled(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed, after their size."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _large(data: bytes, kind: str) -> np.ndarray:
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _pack(texts: pa.Table) -> pa.Table:
+    """The texts of a block in one row: word hashes, sorted, and each word's number among them."""
+    normal = texts["normal"].to_pylist()
+    lengths = np.array([t.count(" ") + 2 if t else 1 for t in normal], dtype="<u4")
+    met: dict[str, int] = {}
+    said = np.array([met.setdefault(w, len(met)) for t in normal if t for w in t.split(" ")], dtype=np.int64)
+    hashed = np.array([*(xxhash.xxh64_intdigest(w.encode()) for w in met), _END], dtype=np.uint64)
+    kinds, number = np.unique(hashed, return_inverse=True)
+    ends = np.zeros(int(lengths.sum(dtype=np.int64)), dtype=bool)
+    ends[np.cumsum(lengths, dtype=np.int64) - 1] = True
+    numbers = np.empty(len(ends), dtype="<u4")
+    numbers[ends], numbers[~ends] = number[-1], number[said]
+    held = texts["held_out"].to_numpy().astype(np.uint8)
+    ids = texts["doc_id"].combine_chunks()
+    return pa.table({
+        "block": texts["block"].slice(0, 1).combine_chunks(),
+        "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+        **{name: pa.array([_small(values)], pa.binary()) for name, values in (
+            ("held", held), ("lengths", lengths), ("kinds", np.diff(kinds, prepend=np.uint64(0))), ("numbers", numbers))}})
+
+
 class Block:
     """The texts of a block as keys: of each position the sequences of 1..order words that end there.
 
@@ -57,18 +86,15 @@ class Block:
     ``m`` words of their text before and at them; other positions have no key of that order.
     """
 
-    def __init__(self, texts: pd.DataFrame, order: int):
-        words = [t.split(" ") if t else [] for t in texts["normal"]]
-        self.lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    def __init__(self, held: bytes, lengths: bytes, kinds: bytes, numbers: bytes, order: int):
+        self.lengths = _large(lengths, "<u4").astype(np.int64)
         n = int(self.lengths.sum())
-        hashed = np.empty(n, np.uint64)
+        hashed = np.cumsum(_large(kinds, "<u8"), dtype=np.uint64)[_large(numbers, "<u4")]
         place = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
-        for start, w in zip(place, words):
-            hashed[start:start + len(w)] = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
-            hashed[start + len(w)] = _END
         self.first = place
+        self.held_out = _large(held, "u1").astype(bool)
         within = np.arange(n) - np.repeat(place, self.lengths)
-        self.trains = np.repeat(~texts["held_out"].to_numpy(dtype=bool), self.lengths)
+        self.trains = np.repeat(~self.held_out, self.lengths)
         self.whole, self.keys = [], []
         mixed = np.zeros(n, np.uint64)
         for m in range(1, order + 1):
@@ -77,21 +103,24 @@ class Block:
             self.whole.append(within >= m - 1)
             self.keys.append((_scrambled(mixed) & ~_ORDER_BITS) | np.uint64(m - 1))
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys, sorted, and how often each occurs in training texts."""
-        train, other = (np.concatenate([k[w & use] for k, w in zip(self.keys, self.whole)])
-                        for use in (self.trains, ~self.trains))
-        seen, times = np.unique(train, return_counts=True)
-        keys = np.union1d(seen, other)
-        counts = np.zeros(len(keys), dtype=np.int64)
-        counts[np.searchsorted(keys, seen)] = times
-        return keys, counts
-
-    def count(self, counted: pd.DataFrame) -> None:
+    def distinct(self, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys in one of equal ranges, sorted, and how often each occurs in training texts."""
+        low, high = (part << 64) // parts, ((part + 1 << 64) // parts) - 1
+        own = [w & (k >= np.uint64(low)) & (k <= np.uint64(high)) for k, w in zip(self.keys, self.whole)]
+        keys, place = np.unique(np.concatenate([k[o] for k, o in zip(self.keys, own)]), return_inverse=True)
+        trains = np.concatenate([self.trains[o] for o in own])
+        return keys, np.bincount(place[trains], minlength=len(keys))
+
+    def count(self, total: np.ndarray) -> None:
         """Per order: number of each position's sequence, -1 where there is none, and corpus counts."""
-        keys = np.unique(np.concatenate([k[w] for k, w in zip(self.keys, self.whole)]))
-        total = answers(counted)
-        self.number = [np.where(w, np.searchsorted(keys, k), -1) for k, w in zip(self.keys, self.whole)]
+        _, place = np.unique(np.concatenate([k[w] for k, w in zip(self.keys, self.whole)]), return_inverse=True)
+        self.number, at = [], 0
+        for w in self.whole:
+            number = np.full(len(w), -1)
+            n = int(w.sum())
+            number[w] = place[at:at + n]
+            self.number.append(number)
+            at += n
         self.total = total
 
     def counts(self, m: int) -> np.ndarray:
@@ -205,9 +234,15 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """
     normal = F.trim(F.regexp_replace(lower_ascii(F.coalesce("text", F.lit(""))), "[\\x20\\x09-\\x0D]+", " "))
     at = layout(docs, order, BLOCK_BYTES)
+    at = Layout(at.blocks, -(-at.buckets // PARTS) * PARTS)          # no bucket in two ranges
+    kind = dict(docs.dtypes)["doc_id"]
     texts = (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), normal.alias("normal"))
              .withColumn("block", block_of(F.xxhash64("doc_id", F.length("normal"), F.substring("normal", 1, 64)), at))
              .repartition(at.blocks, "block"))
+    parts = ("held", "lengths", "kinds", "numbers")
+    blocks = staged(texts.groupBy("block").applyInArrow(
+        _pack, f"block int, doc_ids array<{kind}>, " + ", ".join(f"{p} binary" for p in parts)), "packed-texts")
+
     def tally(keys: np.ndarray, total: np.ndarray) -> list[int]:
         """Distinct words, and per order the training sequences and those that occur once."""
         level, sums = keys & _ORDER_BITS, [int(((keys & _ORDER_BITS == 0) & (total > 0)).sum())]
@@ -216,25 +251,31 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
             sums += [int(own.sum()), int((own == 1).sum())]
         return sums
 
-    counted = staged(totals(texts, lambda frame: Block(frame, order).distinct(), at, tally), "ngram-counts")
+    def keys_of(part: int):
+        return lambda frame: Block(*frame[list(parts)].iloc[0], order).distinct(part, PARTS)
+
+    ranges = [staged(totals(blocks.select("block", *parts), keys_of(part), at, tally, whole=True), "ngram-counts")
+              for part in range(PARTS)]
+    counted = reduce(DataFrame.unionAll, ranges)
     distinct, *sums = tallied(counted, 1 + 2 * order)
     known = sums[0]
     backoff = [min(max(once / max(every, 1), 0.01), 0.99) for every, once in zip(sums[::2], sums[1::2])]
     by_block = counted.where("block >= 0")
-    kind = dict(docs.dtypes)["doc_id"]
 
-    def score(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        block = Block(frame, order)
-        block.count(answer)
+    def score(packed: pa.Table, answer: pa.Table) -> pa.Table:
+        block = Block(*(packed[p][0].as_py() for p in parts), order)
+        block.count(answers(answer.to_pandas()))
         automaton = Automaton(block, order, backoff, known, distinct)
         count = automaton.count[automaton.word]
         base = np.log10((count + 1.0) / (known + distinct + 1.0))
-        return pd.DataFrame({
-            "doc_id": frame["doc_id"], "held_out": frame["held_out"], "n_tokens": block.lengths,
-            "n_known": np.add.reduceat(count > 0, block.first, dtype=np.int64), "train_tokens": known,
-            "base_score": np.add.reduceat(base, block.first),
-            "score": automaton.read(block.first, block.lengths)})
-
-    return texts.groupBy("block").cogroup(by_block.groupBy("block")).applyInPandas(
+        read = {
+            "n_tokens": block.lengths, "n_known": np.add.reduceat(count > 0, block.first, dtype=np.int64),
+            "train_tokens": np.full(len(block.lengths), known), "base_score": np.add.reduceat(base, block.first),
+            "score": automaton.read(block.first, block.lengths)}
+        give_back()
+        return pa.table({"doc_id": packed["doc_ids"][0].values, "held_out": pa.array(block.held_out),
+                         **{name: pa.array(values) for name, values in read.items()}})
+
+    return blocks.groupBy("block").cogroup(by_block.groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double")

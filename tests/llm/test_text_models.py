@@ -96,6 +96,25 @@ def test_automaton_agrees_with_the_model(spark, monkeypatch, order):
     assert lm.scores(nothing(spark)).count() == 0
 
 
+def test_counts_of_the_model_come_in_ranges_of_keys(spark, monkeypatch):
+    """Each range of keys is counted apart, texts are packed once and no range has another's buckets."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr("swinglake.llm.counts.BUCKET_KEYS", 500)
+    kept, keep = [], lm.staged
+    monkeypatch.setattr(lm, "staged", lambda df, name: kept.append((name, keep(df, name))) or kept[-1][1])
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 97}" for j in range(80))) for i in range(120)] + [(None, None), (7, " \t")]
+    got = lm.scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [name for name, _ in kept] == ["packed-texts"] + ["ngram-counts"] * lm.PARTS
+    texts = kept[0][1]
+    assert texts.count() == texts.select("block").distinct().count() > 1
+    buckets = [{r[0] for r in t.select("bucket").distinct().collect()} for _, t in kept[1:]]
+    assert all(buckets) and len(set().union(*buckets)) == sum(map(len, buckets))
+    assert all(max(a) < min(b) for a, b in zip(buckets, buckets[1:]))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
+    for g, w in zip(sorted(map(tuple, got), key=key), sorted(_model(rows, 3), key=key), strict=True):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9, abs=1e-9)
+
+
 def test_registered_model_backs_off_more_than_once(spark):
     rnd = random.Random(4)
     rows = [(i, " ".join(rnd.choice("abcd") for _ in range(30))) for i in range(60)]
