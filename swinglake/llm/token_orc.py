@@ -29,7 +29,8 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 _PUNCTUATION = ".,;:!?"
-_CACHE = 700_000      # entries; bounds a worker's memory, not what is encoded
+_CACHE = 345_000      # entries a generation, just below where a dict doubles its table; bounds a worker's memory, not what is encoded
+_BATCH_BYTES = 4 << 20      # of ids handed on at once
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _MARKS = frozenset("ªº")      # letters by name only
 _plain = re.compile("[a-zß-öø-ÿ]+").fullmatch      # lower-case letters, composed as they are
@@ -41,14 +42,16 @@ class WordEncoder(dict):
 
     The tokenizer drops white space and never joins text across it, so a text's ids
     are those of its words.  Likewise a letter or digit and the marks after it are
-    tokens apart, and case does not count.
+    tokens apart, and case does not count.  Such parts are words themselves, so one cache
+    holds both.  It has two generations: a full one is kept until the next is full, and
+    what is met again meanwhile moves on.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # the model reads bytes spelled as characters; the tokenizer itself says how
         self.spelling = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
                          for c in _LETTERS if c == c.lower() and not c.isascii()}
@@ -63,30 +66,27 @@ class WordEncoder(dict):
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return pack(f"<{len(ids)}i", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            if _plain(piece):
-                spelt = piece if piece.isascii() else piece.translate(self.spelling)
-                ids = [x.id for x in self.model.tokenize(spelt)]
-                known = pack(f"<{len(ids)}i", *ids)
-            else:
-                known = self._ids(piece)
-            if len(self.pieces) >= _CACHE:
-                self.pieces.clear()
-            self.pieces[piece] = known
-        return known
+    def _whole(self, piece: str) -> bytes:
+        if _plain(piece):
+            spelt = piece if piece.isascii() else piece.translate(self.spelling)
+            ids = [x.id for x in self.model.tokenize(spelt)]
+            return pack(f"<{len(ids)}i", *ids)
+        return self._ids(piece)
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            base = word.rstrip(_PUNCTUATION)
+            if base and base[-1] in self.ends:
+                piece = base.lower() if base.isascii() or max(base) < "Ā" else base
+            else:
+                base = piece = word
+            ids = self._whole(piece) if piece == word else self[piece]
+            if len(base) < len(word):
+                ids += self[word[len(base):]]
         if len(self) >= _CACHE:
+            self.older = dict(self)
             self.clear()
-        base = word.rstrip(_PUNCTUATION)
-        if base and base[-1] in self.ends:
-            ids = self._piece(base.lower() if base.isascii() or max(base) < "Ā" else base)
-            if len(base) < len(word):
-                ids += self._piece(word[len(base):])
-        else:
-            ids = self._piece(word)
         self[word] = ids
         return ids
 
@@ -117,7 +117,7 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
             while at < len(batch):
                 parts, n = [], []
                 first, held = at, 0
-                while at < len(batch) and held < 16 << 20:
+                while at < len(batch) and held < _BATCH_BYTES:
                     ids = words.encode(texts[at].as_py() or "")
                     parts += [ids, end]
                     n.append(len(ids) // 4 + 1)

@@ -140,3 +140,16 @@ def test_words_are_encoded_as_in_their_text():
     for text in texts:
         plain = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), "<i4").tolist() == plain
+
+
+def test_words_are_cached_once_and_in_bounds(monkeypatch):
+    """A word that is its own part takes one place; two generations bound the cache, and ids do not depend on it."""
+    encoder = token_orc.WordEncoder(TOKENIZER)
+    encoder.encode("alpha Alpha alpha, ALPHA!")
+    assert set(encoder) == {"alpha", "Alpha", "alpha,", ",", "ALPHA!", "!"} and not hasattr(encoder, "pieces")
+    monkeypatch.setattr(token_orc, "_CACHE", 5)
+    small, whole = token_orc.WordEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for text in ("a b c d e f g h a b c d e f g h", "Äbc, äbc! ÄBC?! naïve; x² ªº -- ... ,", "one, Two one two. ONE! three"):
+        ids = np.frombuffer(small.encode(text), "<i4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids
+        assert len(small) <= 5 and len(small.older) <= 5
