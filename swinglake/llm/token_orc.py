@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from swinglake.llm.common import give_back
+
 END_ID = 1
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -28,13 +31,15 @@ ORC_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
 }
-_PUNCTUATION = ".,;:!?"
+_PUNCTUATION = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"      # ASCII marks that end no special token
 _CACHE = 345_000      # entries a generation, just below where a dict doubles its table; bounds a worker's memory, not what is encoded
+_TEXT_BYTES = 4 << 20      # of texts whose distinct words are looked up together
 _BATCH_BYTES = 4 << 20      # of ids handed on at once
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _MARKS = frozenset("ªº")      # letters by name only
 _plain = re.compile("[a-zß-öø-ÿ]+").fullmatch      # lower-case letters, composed as they are
 _LETTERS = frozenset(c for c in map(chr, range(256)) if c.isalpha()) - _MARKS
+_PARTS = f"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[{re.escape(_PUNCTUATION)}]*)$"
 
 
 class WordEncoder(dict):
@@ -62,26 +67,57 @@ class WordEncoder(dict):
             return self._ids(text)
         return b"".join(map(self.__getitem__, text.split()))
 
+    def encode_all(self, texts: pa.Array, end: bytes) -> tuple[pa.Buffer, np.ndarray]:
+        """Ids of all texts one after the other, each followed by ``end``; and where, in ids, each text ends.
+
+        A distinct word is looked up once, and its ids are copied to all its places.
+        """
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, f"[{_SEPARATORS}]")
+        lists = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        words = lists.flatten().dictionary_encode()
+        wholes = [self._ids(t) for t in texts.filter(odd).to_pylist()]
+        known = pa.concat_arrays([self._distinct(words.dictionary), pa.array([end, *wholes], pa.large_binary())])
+        # after a text's words: the ids of the text as a whole, if it was not split, then the end
+        odd, n = odd.to_numpy(zero_copy_only=False), len(words.dictionary)
+        ends, last = np.cumsum(pc.list_value_length(lists).to_numpy()), np.cumsum(1 + odd)
+        more = np.full(last[-1], n)
+        more[last[odd] - 2] = n + 1 + np.arange(len(wholes))
+        places = np.insert(words.indices.to_numpy(), np.repeat(ends, 1 + odd), more)
+        taken = known.take(pa.array(places))
+        return taken.buffers()[2], np.frombuffer(taken.buffers()[1], dtype=np.int64)[ends + last] // len(end)
+
+    def _distinct(self, words: pa.Array) -> pa.Array:
+        """The ids of each word; letters that are followed by different marks, or in another case, are looked up once."""
+        def of(part: pa.Array) -> pa.Array:
+            distinct = part.dictionary_encode()
+            texts = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()      # to_pylist is slower
+            return pa.array(list(map(self.__getitem__, texts)), pa.large_binary()).take(distinct.indices)
+
+        parts = pc.extract_regex(words, _PARTS)
+        letters, marks = of(pc.utf8_lower(pc.struct_field(parts, "letters"))), of(pc.struct_field(parts, "marks"))
+        joined = pc.binary_join_element_wise(letters, marks, pa.scalar(b"", pa.large_binary()))
+        return pc.replace_with_mask(joined, joined.is_null(), of(words.filter(joined.is_null())))
+
     def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return pack(f"<{len(ids)}i", *ids)
+        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _whole(self, piece: str) -> bytes:
-        if _plain(piece):
-            spelt = piece if piece.isascii() else piece.translate(self.spelling)
-            ids = [x.id for x in self.model.tokenize(spelt)]
-            return pack(f"<{len(ids)}i", *ids)
-        return self._ids(piece)
+    def _letters(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() else piece.translate(self.spelling)
+        return array("i", [x.id for x in self.model.tokenize(spelt)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
-        if ids is None:
+        if ids is None and _plain(word):
+            ids = self._letters(word)
+        elif ids is None:
             base = word.rstrip(_PUNCTUATION)
             if base and base[-1] in self.ends:
-                piece = base.lower() if base.isascii() or max(base) < "Ā" else base
+                # special tokens are found in a text as it is written
+                piece = base.lower() if (base.isascii() or max(base) < "Ā") and "<|" not in base else base
             else:
                 base = piece = word
-            ids = self._whole(piece) if piece == word else self[piece]
+            ids = self._ids(piece) if piece == word else self[piece]
             if len(base) < len(word):
                 ids += self[word[len(base):]]
         if len(self) >= _CACHE:
@@ -100,6 +136,17 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def _cuts(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows, by where each ends, of about the same size that hold ``most`` together or are one row."""
+    first, total = 0, int(ends[-1]) if len(ends) else 0
+    most = -(-total // max(1, -(-total // most)))
+    while first < len(ends):
+        before = ends[first - 1] if first else 0
+        upto = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield first, upto
+        first = upto
+
+
 def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """``doc_id, shard, shard_start, n_tokens, ids``: documents in id order, ids ending with ``end_id``.
 
@@ -112,26 +159,20 @@ def encode_frame(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end, start = _encoder(tokenizer), np.array([end_id], dtype="<i4").tobytes(), 0
         for batch in batches:
-            doc_ids, shards = batch.column(0), batch.column(1)
-            texts, at = batch.column(2), 0
-            while at < len(batch):
-                parts, n = [], []
-                first, held = at, 0
-                while at < len(batch) and held < _BATCH_BYTES:
-                    ids = words.encode(texts[at].as_py() or "")
-                    parts += [ids, end]
-                    n.append(len(ids) // 4 + 1)
-                    held += len(ids) + 4
-                    at += 1
-                counts = np.array(n, dtype=np.int64)
-                ends = np.cumsum(counts)
-                starts = start + ends - counts
-                start += int(ends[-1])
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(first, at - first), shards.slice(first, at - first), pa.array(starts),
-                     pa.array(counts), lists], names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
+            lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            for first, upto in _cuts(np.cumsum(lengths, dtype=np.int64), _TEXT_BYTES):
+                some = batch.slice(first, upto - first)
+                ids, ends = words.encode_all(some.column(2), end)
+                for a, b in _cuts(ends, _BATCH_BYTES // len(end)):
+                    before = int(ends[a - 1]) if a else 0
+                    offsets = np.append(before, ends[a:b]) - before
+                    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, ids.slice(len(end) * before)])
+                    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0).slice(a, b - a), some.column(1).slice(a, b - a), pa.array(start + offsets[:-1]),
+                         pa.array(np.diff(offsets)), lists], names=["doc_id", "shard", "shard_start", "n_tokens", "ids"])
+                    start += int(offsets[-1])
+        give_back()
 
     kind = dict(docs.dtypes)["doc_id"]
     return ordered.mapInArrow(encode, f"doc_id {kind}, shard int, shard_start long, n_tokens long, ids array<int>")

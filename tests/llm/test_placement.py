@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -153,3 +154,42 @@ def test_words_are_cached_once_and_in_bounds(monkeypatch):
         ids = np.frombuffer(small.encode(text), "<i4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids
         assert len(small) <= 5 and len(small.older) <= 5
+
+
+def test_texts_encoded_together_are_as_the_tokenizer_says():
+    """Special tokens are found as they are written, words followed by any marks are cut there, and no white space counts."""
+    encoder, whole, end = token_orc.WordEncoder(TOKENIZER), Tokenizer.from_file(TOKENIZER), b"\1\0\0\0"
+    texts = ["don't I'll 'tis dogs' STRASSE Straße. ΑΣ Σ. Å ª º x² µ ½ ǅ ﬁ é É! é. [a] b) \"c\" d,%%% e.*** f's. g'", "", None,
+             "a\x1cb c\x1dd", "\x1e", "a<|endoftext|>b, <|ENDOFTEXT|>x <|endoftext|>. <|endoftext| > x<|startoftext|>'s",
+             "日本語。テスト, a-b_c 12a 4.5,6 3% ... !!! x!?", "  \n\t ", "one One ONE, one. \x85 one\xa0two three　", "x\x1f"]
+    texts += ["".join(f"a{chr(c)}b" for c in range(a, a + 256)) for a in range(0, 0x3100, 256)]
+    for some in (pa.array(texts), pa.array(["x", *texts, "y"]).slice(1, len(texts)), pa.array(texts, pa.large_string())):
+        ids, ends = encoder.encode_all(some, end)
+        got = np.split(np.frombuffer(ids, "<i4")[:ends[-1]], ends[:-1])
+        for text, found in zip(texts, got, strict=True):
+            assert found.tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 1], text
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text or ""), "<i4").tolist() == whole.encode(text or "", add_special_tokens=False).ids
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    """However often a word occurs, in whatever case and before whatever marks, its letters are looked up once."""
+    encoder, asked = token_orc.WordEncoder(TOKENIZER), Counter()
+    look = encoder.__class__.__missing__
+
+    class Counting(token_orc.WordEncoder):
+        def __missing__(self, word):
+            asked[word] += 1
+            return look(self, word)
+
+    _, ends = Counting(TOKENIZER).encode_all(pa.array(["Alpha alpha, ALPHA.%%% 'alpha 7"] * 1000), b"\1\0\0\0")
+    assert len(ends) == 1000 and asked["alpha"] == 1 and set(asked) == {"alpha", "", ",", ".%%%", "'alpha", "7"}
+
+
+def test_ranges_of_rows_are_of_like_size():
+    ends = np.cumsum([3, 3, 3, 50, 0, 0, 2, 2])
+    for most in (1, 6, 10, 100):
+        ranges = list(token_orc._cuts(ends, most))
+        assert [i for a, b in ranges for i in range(a, b)] == list(range(8))
+        assert all(b - a == 1 or ends[b - 1] - (ends[a - 1] if a else 0) <= most for a, b in ranges)
+    assert list(token_orc._cuts(ends, 100)) == [(0, 8)] and list(token_orc._cuts(ends[:0], 9)) == []
