@@ -2,8 +2,9 @@
 
 The corpus lies in blocks.  A block sends its distinct keys, sorted, in one row per
 bucket (a range of key values); a bucket adds up the counts of all blocks and answers
-each block with the totals in the order asked.  Rows carry packed arrays, so a key
-costs a few bytes, and blocks and buckets have bounded size however large the corpus.
+each block with the totals in the order asked.  Rows carry compressed arrays, so a key
+costs a few bytes in the executors too, and blocks and buckets have bounded size however
+large the corpus.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,14 +45,16 @@ def block_of(hashed: Column, at: Layout) -> Column:
     return F.pmod(hashed, F.lit(at.blocks)).cast("int")
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together: the high ones are mostly zero and compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+def small(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed, after their size: the high ones are mostly zero."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _values(data: bytes, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+def large(data: bytes, kind: str) -> np.ndarray:
+    size, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(memoryview(data)[8:], size, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 def _edges(buckets: int) -> np.ndarray:
@@ -64,7 +68,7 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
     ``keys`` turns the rows of a block into distinct keys (sorted uint64) and their counts
     there (uint32); it is run once more where the totals are used, see ``answers``.
     ``tally`` makes some numbers of a bucket's distinct keys and totals; they come as rows
-    of blocks -1, -2, ..., see ``tallied``.  With ``whole`` each row is a block, and none is shuffled.
+    of blocks -1, -2, ... with a column ``tally``, see ``tallied``.  With ``whole`` each row is a block, and none is shuffled.
     """
     edges = _edges(at.buckets)
 
@@ -75,24 +79,26 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
         for bucket in np.flatnonzero(cuts[:-1] < cuts[1:]).tolist():
             a, b = cuts[bucket], cuts[bucket + 1]
             steps = np.diff(distinct[a:b], prepend=np.uint64(0))
-            rows.append((bucket, frame["block"].iat[0], _planes(steps), _planes(counts[a:b].astype("<u4"))))
+            rows.append((bucket, frame["block"].iat[0], small(steps), small(counts[a:b].astype("<u4"))))
         give_back()
         return pd.DataFrame(rows, columns=["bucket", "block", "keys", "counts"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.cumsum(_values(k, "<u8"), dtype=np.uint64) for k in frame["keys"]]
+        parts = [np.cumsum(large(k, "<u8"), dtype=np.uint64) for k in frame["keys"]]
         every = np.concatenate(parts)
         distinct, place = np.unique(every, return_inverse=True)
-        counts = np.concatenate([_values(c, "<u4") for c in frame["counts"]])
+        counts = np.concatenate([large(c, "<u4") for c in frame["counts"]])
         total = np.zeros(len(distinct), np.uint64)
         np.add.at(total, place, counts.astype(np.uint64))
         answer = total.astype("<u8")[place]
         ends = np.cumsum([len(p) for p in parts])
         out = pd.DataFrame({"block": frame["block"], "bucket": frame["bucket"],
-                            "totals": [_planes(a) for a in np.split(answer, ends[:-1])]})
+                            "totals": [small(a) for a in np.split(answer, ends[:-1])]})
         if tally is not None:
-            for i, number in enumerate(tally(distinct, total)):
-                out.loc[len(out)] = (-1 - i, frame["bucket"].iat[0], int(number).to_bytes(8))
+            numbers = [int(number) for number in tally(distinct, total)]
+            out = pd.concat([out.assign(tally=0), pd.DataFrame({
+                "block": [-1 - i for i in range(len(numbers))], "bucket": frame["bucket"].iat[0],
+                "totals": b"", "tally": numbers})], ignore_index=True)
         give_back()
         return out
 
@@ -103,18 +109,18 @@ def totals(blocks: DataFrame, keys: Keys, at: Layout,
 
     shape = "bucket int, block int, keys binary, counts binary"
     asked = blocks.mapInPandas(ask_each, shape) if whole else blocks.groupBy("block").applyInPandas(ask, shape)
-    return asked.groupBy("bucket").applyInPandas(add, "block int, bucket int, totals binary")
+    answered = "block int, bucket int, totals binary" + ", tally long" * (tally is not None)
+    return asked.groupBy("bucket").applyInPandas(add, answered)
 
 
 def answers(frame: pd.DataFrame) -> np.ndarray:
     """Totals of a block's keys, in the order of the sorted keys, from its rows of ``totals``."""
     parts: Iterable[bytes] = frame.sort_values("bucket")["totals"]
-    return np.concatenate([np.empty(0, "<u8"), *(_values(p, "<u8") for p in parts)]).astype(np.int64)
+    return np.concatenate([np.empty(0, "<u8"), *(large(p, "<u8") for p in parts)]).view(np.int64)
 
 
 def tallied(counted: DataFrame, numbers: int) -> list[int]:
-    """Sums of the buckets' tallies; they are added up where they lie."""
-    value = F.conv(F.hex("totals"), 16, 10).cast("long")
-    rows = counted.where("block < 0").groupBy("block").agg(F.sum(value).alias("n")).collect()
+    """Sums of the buckets' tallies; they are added up where they lie, and no totals are read for them."""
+    rows = counted.where("block < 0").groupBy("block").agg(F.sum("tally").alias("n")).collect()
     found = {-1 - r["block"]: r["n"] for r in rows}
     return [found.get(i, 0) for i in range(numbers)]

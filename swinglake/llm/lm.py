@@ -14,7 +14,8 @@ The counts are those of the whole corpus.  No task holds them all: a block of te
 the exact counts of its own sequences (``counts``), which is every arc it can follow.
 A block is packed once, its words as numbers into the block's own list of word hashes, and
 asks for its counts in ``PARTS`` ranges of keys, one after the other, so that only one
-range is being shuffled at a time.
+range is being shuffled at a time.  A block's own keys are sorted in ``PIECES`` of a range
+for the same reason, and numbers of a block's words, keys and states take 32 bits.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swinglake.llm.common import give_back, lower_ascii, staged
-from swinglake.llm.counts import Layout, answers, block_of, layout, tallied, totals
+from swinglake.llm.counts import Layout, answers, block_of, large, layout, small, tallied, totals
 
 ORDER = 3
 BLOCK_BYTES = 4 << 20
 PARTS = 2             # ranges of keys that are counted one after the other
+PIECES = 2            # of such a range that a block sorts one after the other
 RARE = 0.8            # of what is left to a history seen once, the share that goes to lower orders
 _END = 0x5851F42D4C957F2D
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,18 +48,6 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _small(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together, compressed, after their size."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _large(data: bytes, kind: str) -> np.ndarray:
-    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
 def _pack(texts: pa.Table) -> pa.Table:
     """The texts of a block in one row: word hashes, sorted, and each word's number among them."""
     normal = texts["normal"].to_pylist()
@@ -75,7 +65,7 @@ def _pack(texts: pa.Table) -> pa.Table:
     return pa.table({
         "block": texts["block"].slice(0, 1).combine_chunks(),
         "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-        **{name: pa.array([_small(values)], pa.binary()) for name, values in (
+        **{name: pa.array([small(values)], pa.binary()) for name, values in (
             ("held", held), ("lengths", lengths), ("kinds", np.diff(kinds, prepend=np.uint64(0))), ("numbers", numbers))}})
 
 
@@ -87,12 +77,12 @@ class Block:
     """
 
     def __init__(self, held: bytes, lengths: bytes, kinds: bytes, numbers: bytes, order: int):
-        self.lengths = _large(lengths, "<u4").astype(np.int64)
+        self.lengths = large(lengths, "<u4").astype(np.int64)
         n = int(self.lengths.sum())
-        hashed = np.cumsum(_large(kinds, "<u8"), dtype=np.uint64)[_large(numbers, "<u4")]
+        hashed = np.cumsum(large(kinds, "<u8"), dtype=np.uint64)[large(numbers, "<u4")]
         place = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
         self.first = place
-        self.held_out = _large(held, "u1").astype(bool)
+        self.held_out = large(held, "u1").astype(bool)
         within = np.arange(n) - np.repeat(place, self.lengths)
         self.trains = np.repeat(~self.held_out, self.lengths)
         self.whole, self.keys = [], []
@@ -103,25 +93,37 @@ class Block:
             self.whole.append(within >= m - 1)
             self.keys.append((_scrambled(mixed) & ~_ORDER_BITS) | np.uint64(m - 1))
 
-    def distinct(self, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys in one of equal ranges, sorted, and how often each occurs in training texts."""
+    def _sorted(self, part: int, parts: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Distinct keys in one of equal ranges, sorted, where each key of it stands among them, and per order its positions."""
         low, high = (part << 64) // parts, ((part + 1 << 64) // parts) - 1
-        own = [w & (k >= np.uint64(low)) & (k <= np.uint64(high)) for k, w in zip(self.keys, self.whole)]
+        own = [np.flatnonzero(w & (k >= np.uint64(low)) & (k <= np.uint64(high))) for k, w in zip(self.keys, self.whole)]
         keys, place = np.unique(np.concatenate([k[o] for k, o in zip(self.keys, own)]), return_inverse=True)
-        trains = np.concatenate([self.trains[o] for o in own])
-        return keys, np.bincount(place[trains], minlength=len(keys))
+        return keys, place, own
+
+    def distinct(self, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys in one of equal ranges, sorted, and how often each occurs in training texts."""
+        found = []
+        for piece in range(part * PIECES, (part + 1) * PIECES):
+            keys, place, own = self._sorted(piece, parts * PIECES)
+            trains = np.concatenate([self.trains[o] for o in own])
+            found.append((keys, np.bincount(place[trains], minlength=len(keys))))
+        return np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found])
 
     def count(self, total: np.ndarray) -> None:
-        """Per order: number of each position's sequence, -1 where there is none, and corpus counts."""
-        _, place = np.unique(np.concatenate([k[w] for k, w in zip(self.keys, self.whole)]), return_inverse=True)
-        self.number, at = [], 0
-        for w in self.whole:
-            number = np.full(len(w), -1)
-            n = int(w.sum())
-            number[w] = place[at:at + n]
-            self.number.append(number)
-            at += n
+        """Per order: number of each position's sequence, -1 where there is none, and corpus counts.
+
+        The keys are not needed after this and are dropped."""
+        self.number = [np.full(len(w), -1, dtype=np.int32) for w in self.whole]
+        before = 0
+        for piece in range(PARTS * PIECES):
+            keys, place, own = self._sorted(piece, PARTS * PIECES)
+            at = 0
+            for number, o in zip(self.number, own):
+                number[o] = place[at:at + len(o)] + before
+                at += len(o)
+            before += len(keys)
         self.total = total
+        del self.keys, self.whole
 
     def counts(self, m: int) -> np.ndarray:
         return np.where(self.number[m - 1] >= 0, self.total[np.maximum(self.number[m - 1], 0)], 0)
@@ -143,21 +145,22 @@ class Automaton:
         total = block.total
         used = _marked(block.number[0], len(total))
         word_keys = np.flatnonzero(used)
-        self.word = (np.cumsum(used) - 1)[block.number[0]]
+        self.word = (np.cumsum(used, dtype=np.int32) - 1)[block.number[0]]
         self.words = len(word_keys)
         self.count = total[word_keys]
         probability = (self.count + 1.0) / (known + distinct + 1.0)
         # a state for each sequence below the full order that training has
-        state_of = np.zeros(len(total), dtype=np.int64)
+        state_of = np.zeros(len(total), dtype=np.int32)
         n = 1
         for m in range(1, order):
             ids = np.flatnonzero(_marked(block.number[m - 1][block.counts(m) > 0], len(total)))
             state_of[ids] = n + np.arange(len(ids))
             n += len(ids)
-        self.fail_weight, self.fail_target = np.zeros(n), np.zeros(n, dtype=np.int64)
-        codes, weights, targets = [], [np.log10(probability)], [state_of[word_keys]]
-        lower = probability[self.word]                 # of each position, given m - 1 words
-        for m in range(1, order):
+        self.fail_weight, self.fail_target = np.zeros(n), np.zeros(n, dtype=np.int32)
+        codes, weights, targets = [], [], []           # of all arcs but those of state 0
+
+        def arcs(m: int, lower: np.ndarray) -> np.ndarray:
+            """Adds the arcs that follow ``m`` words; probabilities given ``m`` words from those given ``m - 1``."""
             history, count = block.history(m), block.counts(m + 1)
             b = backoff[m] + RARE * (1 - backoff[m]) / np.maximum(history, 1).astype(float) ** 2
             seen, context = history > 0, np.roll(block.number[m - 1], 1)
@@ -168,17 +171,18 @@ class Automaton:
             if m > 1:
                 self.fail_target[states] = state_of[np.roll(block.number[m - 2], 1)[at]]
             at = _firsts(block.number[m], count > 0)
-            codes.append(state_of[context[at]] * self.words + self.word[at])
+            codes.append(state_of[context[at]].astype(np.int64) * self.words + self.word[at])
             weights.append(np.log10(p[at]))
             targets.append(state_of[block.number[m - 1 if m + 1 == order else m][at]])
-            lower = p
-        code = np.concatenate([np.empty(0, np.int64), *codes])
+            return p
+
+        reduce(lambda lower, m: arcs(m, lower), range(1, order), probability[self.word])
+        code = _joined(codes, np.int64)
         by_code = np.argsort(code)
         self.code = np.append(code[by_code], np.iinfo(np.int64).max)
-        rest = self.words + by_code
-        weight, target = np.concatenate(weights), np.concatenate(targets)
-        self.weight = np.concatenate([weight[:self.words], weight[rest]])
-        self.target = np.concatenate([target[:self.words], target[rest]])
+        del code
+        self.weight = np.concatenate([np.log10(probability), _joined(weights, np.float64)[by_code]])
+        self.target = np.concatenate([state_of[word_keys], _joined(targets, np.int32)[by_code]])
 
     def read(self, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log10 probabilities of texts, read side by side: each carries its state from word to word."""
@@ -189,7 +193,7 @@ class Automaton:
         for step, active in enumerate(reading):
             word = self.word[start[:active] + step]
             at = state[:active].copy()
-            arc = word.copy()                          # those of state 0
+            arc = word.astype(np.int64)                # those of state 0
             todo = np.flatnonzero(at)
             while len(todo):
                 code = at[todo] * self.words + word[todo]
@@ -207,6 +211,13 @@ class Automaton:
         return out
 
 
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    """The arrays as one; their list is emptied, so that they don't lie beside it."""
+    out = np.concatenate([np.empty(0, kind), *parts])
+    parts.clear()
+    return out
+
+
 def _marked(numbers: np.ndarray, size: int) -> np.ndarray:
     mark = np.zeros(size, dtype=bool)
     mark[numbers] = True
@@ -216,7 +227,7 @@ def _marked(numbers: np.ndarray, size: int) -> np.ndarray:
 def _firsts(numbers: np.ndarray, use: np.ndarray) -> np.ndarray:
     """A position for each distinct number among those in use."""
     positions = np.flatnonzero(use)
-    chosen = np.full(int(numbers.max(initial=-1)) + 1, -1)
+    chosen = np.full(int(numbers.max(initial=-1)) + 1, -1, dtype=np.int32)
     chosen[numbers[positions]] = positions
     return chosen[chosen >= 0]
 
@@ -260,7 +271,7 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     distinct, *sums = tallied(counted, 1 + 2 * order)
     known = sums[0]
     backoff = [min(max(once / max(every, 1), 0.01), 0.99) for every, once in zip(sums[::2], sums[1::2])]
-    by_block = counted.where("block >= 0")
+    by_block = counted.where("block >= 0").drop("tally")
 
     def score(packed: pa.Table, answer: pa.Table) -> pa.Table:
         block = Block(*(packed[p][0].as_py() for p in parts), order)

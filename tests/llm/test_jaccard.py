@@ -107,6 +107,18 @@ def test_counts_beyond_32_bits(spark):
     assert counts.tallied(counted, 1) == [6_000_000_002]
 
 
+def test_counts_are_small_and_tallies_are_read_without_them(spark):
+    """A block is answered in less than two bytes a key where counts are low; tallies lie in a column of their own."""
+    keys = jaccard.np.sort(jaccard.np.random.default_rng(2).integers(1, 1 << 63, 20_000).astype("u8") * 2)
+    blocks = spark.createDataFrame([(i,) for i in range(3)], "block int")
+    counted = counts.totals(blocks, lambda frame: (keys, jaccard.np.ones(len(keys), "i8")), counts.Layout(3, 2),
+                            lambda distinct, total: [len(distinct), 2 ** 60]).localCheckpoint()
+    frame = counted.where("block = 1").toPandas()
+    assert sum(map(len, frame["totals"])) < 2 * len(keys)
+    assert counts.answers(frame).tolist() == [3] * len(keys)
+    assert counts.tallied(counted.drop("totals"), 2) == [len(keys), 2 ** 61]
+
+
 def test_bounds_never_lose_a_pair():
     rnd = random.Random(4)
     base = [rnd.getrandbits(64) for _ in range(300)]

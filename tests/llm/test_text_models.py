@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +118,26 @@ def test_counts_of_the_model_come_in_ranges_of_keys(spark, monkeypatch):
         assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9, abs=1e-9)
 
 
+def test_memory_of_scoring_a_block():
+    """Numbers of 32 bits, keys sorted in pieces and dropped, arrays freed: at most 180 bytes a token at once."""
+    rnd = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(w)}" for w in rnd.zipf(1.3, 400) % 50_000) for _ in range(500)]
+    packed = lm._pack(pa.table({"doc_id": pa.array(range(500), pa.int64()), "normal": texts,
+                                "held_out": [i % 7 == 2 for i in range(500)], "block": pa.array([0] * 500, pa.int32())}))
+    parts = [packed[p][0].as_py() for p in ("held", "lengths", "kinds", "numbers")]
+    total = np.concatenate([lm.Block(*parts, 3).distinct(i, lm.PARTS)[1] for i in range(lm.PARTS)])
+    tracemalloc.start()
+    try:
+        block = lm.Block(*parts, 3)
+        block.count(total)
+        read = lm.Automaton(block, 3, [.3, .4, .5], 10 ** 6, 10 ** 5).read(block.first, block.lengths)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(read) == 500 and (read < 0).all()
+    assert peak < 180 * block.lengths.sum()
+
+
 def test_registered_model_backs_off_more_than_once(spark):
     rnd = random.Random(4)
     rows = [(i, " ".join(rnd.choice("abcd") for _ in range(30))) for i in range(60)]
