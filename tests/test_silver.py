@@ -382,6 +382,62 @@ def test_master_is_appended_in_pieces(spark, few_events, tmp_path, monkeypatch):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def _hips(rows):
+    return rows.select("input_event", "Timestamp", "ID", F.map_values("hips_zip").alias("hips"))
+
+
+@pytest.mark.parametrize("by_place", [True, False])
+def test_runs_join_and_fill_in_pieces(spark, few_events, tmp_path, monkeypatch, by_place):
+    """A run that fails between two pieces is made up for, and what is filled in later leaves no copy behind."""
+    from swinglake.catalog import fixtures as fx
+    b, copies, calls = fx.build_bronze(spark, few_events), [], []
+    folder, late = silver.scratch_dir, silver._by_lateness
+
+    def noted(session, name):
+        copies.append(folder(session, name))
+        return copies[-1]
+
+    def failing(rows):
+        calls.append(rows.count())
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return late(rows)
+
+    monkeypatch.setattr(silver, "scratch_dir", noted)
+    monkeypatch.setattr(silver, "_by_lateness", failing)
+
+    def run(params):
+        streams, tables = zip(*[b.placed(name) for name in ("motion", "frames")])
+        return silver.master_batch(*streams, params, f"{tmp_path}/table", f"{tmp_path}/at", tables=tables if by_place else None)
+
+    few = b.rows("params").where("ID % 4 = 0")
+    with pytest.raises(RuntimeError, match="lost"):
+        run(few)
+    whole = [_hips(silver.master(b.rows("motion"), b.rows("frames"), params)) for params in (few, b.rows("params"))]
+    got = _hips(run(few))
+    assert got.count() == whole[0].count() == sum(calls) - calls[2] and got.exceptAll(whole[0]).count() == 0
+    assert len(calls) == 3 + 2 and max(calls) < sum(calls) / 2 and not copies
+    got = _hips(run(b.rows("params")))
+    assert got.count() == whole[1].count() and got.exceptAll(whole[1]).count() == 0 and len(calls) == 5
+    assert copies and all(spark.read.parquet(at).count() == 0 for at in copies)
+
+
+def test_streamed_master_is_written_in_pieces(spark, few_events, tmp_path, monkeypatch):
+    from swinglake.catalog import fixtures as fx
+    b, sizes, make = fx.build_bronze(spark, few_events), [], silver._met_master
+
+    def seen(*args):
+        rows = make(*args)
+        sizes.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(silver, "_met_master", seen)
+    streams, tables = zip(*[b.placed(name) for name in ("motion", "frames")])
+    got = _hips(silver.publish_master(*streams, b.rows("params"), tables, f"{tmp_path}/table", f"{tmp_path}/checkpoint"))
+    whole = _hips(silver.master(b.rows("motion"), b.rows("frames"), b.rows("params")))
+    assert got.count() == whole.count() == sum(sizes) > max(sizes) * 2 and got.exceptAll(whole).count() == 0
+
+
 def test_layers_hold_no_copy_of_the_wide_motion_rows(spark, few_events):
     from swinglake.catalog import ENTRIES, fixtures as fx
     found = {(r["layer"], r["table"]): (r["n_rows"], r["n_events"])
