@@ -10,7 +10,7 @@ from swinglake.operators.tables import read_merged
 from swinglake.plans.ingest import Lake, ingest_csv, ingest_report, ingest_xml
 from swinglake.sources import files as src
 from swinglake.sources.delimited import (
-    pinned_schema, promote_rescued, read_csv_stream, read_report, rescue_cast, rescue_csv, schema_versions,
+    inferred_schema, pinned_schema, promote_rescued, read_csv_stream, read_report, rescue_cast, rescue_csv, schema_versions,
     widen_schema,
 )
 from swinglake.sources.xml import read_xml, read_xml_stream
@@ -238,6 +238,61 @@ def test_plain_readers(spark, tmp_path):
     assert read_merged(spark, f"{tmp_path}/t").count() == 3
 
 
+@pytest.mark.parametrize("event_type", ["batting", "event_type=batting"])
+def test_all_files_below_a_folder(spark, tmp_path, schema, event_type):
+    """Read as by a pattern for the folders, in batch and as streams, without a path for each of them on the driver."""
+    for i in range(40):
+        put(tmp_path, f"c/g{i % 2}/{event_type}/event=e{i}/m.csv", f"a,b,c\n{i},1,x\n" if i % 3 else f"c,a\nx,{i}\n")
+        put(tmp_path, f"r/g{i % 2}/{event_type}/event=e{i}/r.txt", f"title\nname\tvalue\na\t{i}\n")
+        put(tmp_path, f"x/g{i % 2}/{event_type}/event=e{i}/p.xml", f"<S><P><a>{i}</a></P></S>")
+        put(tmp_path, f"c/g{i % 2}/other/event=e{i}/m.csv", "not this one\n")
+    number = StructType.fromDDL("a int")
+
+    def glob(kind, end):
+        return f"{tmp_path}/{kind}/*/{event_type}/{end}"
+
+    def ingested(end, run, **kept):
+        lake = Lake(f"{tmp_path}/{run}", str(tmp_path))
+        return (ingest_csv(spark, lake, "m", "batting", ",", schema, files=glob("c", end), **kept),
+                ingest_report(spark, lake, "r", "batting", files=glob("r", end), **kept),
+                ingest_xml(spark, lake, "p", "batting", "P", "S", number, files=glob("x", end), **kept))
+
+    made = [(rescue_csv(spark, glob("c", end), schema), read_report(spark, glob("r", end)),
+             read_xml(spark, glob("x", end), "P", number), *ingested(end, run, max_files=15))
+            for end, run in (("*", "lake1"), ("**", "lake2"))]
+    for by_pattern, below in zip(*made):
+        assert below.columns == by_pattern.columns and below.count() == 40
+        assert below.exceptAll(by_pattern).count() == 0
+    again = ingested("**", "lake2")
+    assert [r.count() for r in again] == [40, 40, 40]
+    assert inferred_schema(spark, glob("r", "**"), "\t") == inferred_schema(spark, glob("r", "*"), "\t")
+    # a batch of few small files is one task for each core at most, and one file in bronze for each
+    files = {f for f in again[0].inputFiles()}
+    assert len(files) <= 3 * spark.sparkContext.defaultParallelism < 40
+
+
+def test_headers_come_with_the_count_of_lines(spark, tmp_path, schema, monkeypatch):
+    """One table is written about the splits, wherever the header is; a file may begin with blank lines."""
+    from swinglake.operators import numbering
+    tables, keep = [], numbering.staged
+
+    def seen(df, name):
+        tables.append(name)
+        return keep(df, name)
+
+    monkeypatch.setattr(numbering, "staged", seen)
+    put(tmp_path, "e1/m.csv", "\n" * 300 + "c,a\n" + "one,1\n" * 50)
+    put(tmp_path, "e2/m.csv", "a,b,c\n2,3,two\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+        got = rescue_csv(spark, f"{tmp_path}/*/m.csv", schema).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tables == ["splits"]
+    assert sorted((r["a"], r["c"], r["row_number"]) for r in got) == sorted([(1, "one", i + 1) for i in range(50)] + [(2, "two", 1)])
+
+
 def test_landing_files_are_written_and_listed_by_several_tasks(spark, tmp_path):
     from swinglake.catalog import fixtures as fx
     from swinglake.catalog.landing import _glob
